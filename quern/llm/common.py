@@ -44,6 +44,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_made: list = [None, None]
+
+
+def once(value, make):
+    """``make(value)``, kept for a worker's next tasks as long as they bring the same (broadcast) object."""
+    if _made[0] is not value:
+        _made[:] = value, make(value)
+    return _made[1]
+
+
 class WordHashes(dict):
     """Word bytes to 64-bit hash; starts afresh when full, so memory is bounded."""
 

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from quern.llm import near_dedup
+from quern.llm import decontamination, html_extraction, line_dedup, mixing, near_dedup, quality, secrets, token_counts, warc
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
+    "op2_decontamination": decontamination.op2_decontamination,
+    "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_html_extraction": html_extraction.op4_html_extraction,
+    "op5_mixing": mixing.op5_mixing,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op7_quality_rules": quality.op7_quality_rules,
+    "op8_warc": warc.op8_warc,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -20,4 +28,5 @@ ORACLES: dict[str, str] = {
         SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(min(r.b), w.doc_id)) AS component_id,
                w.doc_id = least(w.doc_id, coalesce(min(r.b), w.doc_id)) AS kept
         FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = w.doc_id GROUP BY w.doc_id""",
+    "op8_warc": warc.ORACLE,
 }
