@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 CACHE_WORDS = 150_000  # entries a worker's word cache holds before it starts afresh
@@ -44,6 +45,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 1_000_000  # short rows (ids, positions) that are sent whole to every task; above, the same join is made by shuffle
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table, materialised, with a broadcast hint while its checked number of rows is small."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 _made: list = [None, None]
 
 

@@ -15,20 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import cut, table
+from quern.llm.common import bounded, cut, table
 from quern.llm.components import components
 
 SIGNATURE = 13
 OVERLAP = 4  # of the signature; fewer shared hashes at similarity 0.8 are rarer than one in ten thousand
-BROADCAST_ROWS = 1_000_000  # rows of two longs, or of a document's few positions; above, the same join is made by shuffle
 SHINGLE = r"(?s)(?=(.{1,12}))\S{1,8}"
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """A checkpointed table, with a broadcast hint while it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, pos, line (lower case, trimmed), id of each line with text."""
     split = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("pos", "line"))
@@ -50,8 +44,8 @@ def _keys(low: str) -> Column:
 
 def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more, and the rest: column ``ok``."""
-    ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    sets = lines.select("id", "line").join(_bounded(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")).select("id", _set("line").alias("s"))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = lines.select("id", "line").join(bounded(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")).select("id", _set("line").alias("s"))
     sets = cut(sets)
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     same = F.size(F.array_intersect("x", "y"))
@@ -78,8 +72,7 @@ def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
     ends = failed.select(F.col("a").alias("id")).union(failed.select(F.col("b").alias("id"))).distinct()
     wanted = ends.join(first, "id", "left").select(comp.alias("comp")).distinct()
     member = ends.join(first, "id", "left").select("id", comp.alias("comp")).union(first.select("id", F.col("component").alias("comp")).join(wanted, "comp", "left_semi").select("id", "comp")).distinct()
-    member = cut(member)
-    again = lines.join(_bounded(member), "id").groupBy("id").agg(F.first("line").alias("line"), F.first("comp").alias("comp")).select("id", "comp", F.slice(_set("line"), 1, SIGNATURE).alias("low"))
+    again = lines.join(bounded(member), "id").groupBy("id").agg(F.first("line").alias("line"), F.first("comp").alias("comp")).select("id", "comp", F.slice(_set("line"), 1, SIGNATURE).alias("low"))
     again = cut(again)
     keyed = again.select("id", "comp", "low", _keys("low").alias("key"))
     apart = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
@@ -105,10 +98,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = spots.join(line_components(lines, percent), "id", "left").withColumn("comp", F.coalesce("component", "id"))
     keeper = placed.filter("n > 1 OR component IS NOT NULL")
     first = keeper.groupBy("comp").agg(F.min("at").alias("keep"))
-    repeated = cut(keeper.select("id", "comp").join(first, "comp").select("id", "keep"))
-    gone = lines.select("id", "doc_id", "pos").join(_bounded(repeated), "id").filter(F.struct("doc_id", "pos") != F.col("keep"))
-    gone = cut(gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("__gone")).withColumnRenamed("doc_id", "__doc"))
-    rows = docs.drop("n_lines", "n_dropped").join(_bounded(gone), F.col(id_col).cast("long") == F.col("__doc"), "left")
+    repeated = keeper.select("id", "comp").join(first, "comp").select("id", "keep")
+    gone = lines.select("id", "doc_id", "pos").join(bounded(repeated), "id").filter(F.struct("doc_id", "pos") != F.col("keep"))
+    gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("__gone")).withColumnRenamed("doc_id", "__doc")
+    rows = docs.drop("n_lines", "n_dropped").join(bounded(gone), F.col(id_col).cast("long") == F.col("__doc"), "left")
     split = F.split(F.col(text_col).cast("string"), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(split, i + 1)), "\n"))

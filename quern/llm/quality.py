@@ -139,3 +139,15 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def drop_rejected(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows that ``quality_rules`` keeps, all columns as they are; nothing is shuffled."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for batch in batches:
+            yield batch.filter(pa.array([measure(cache, t)[-1] for t in binary(batch.column(at))], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.llm import decontamination, html_extraction, line_dedup, mixing, near_dedup, quality, secrets, token_counts, warc
+from quern.llm import decontamination, html_extraction, licenses, line_dedup, mixing, near_dedup, quality, secrets, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_warc": warc.op8_warc,
+    "op9_license_scan": licenses.op9_license_scan,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
