@@ -44,7 +44,11 @@ def stopwords(lemma: Column) -> dict[str, Column]:
     words = F.transform(tokens(lemma), lambda t: F.struct(t["text"].alias("token"), F.try_element_at(known, t["text"]).alias("group")))
     removed = F.filter(words, lambda w: w["group"].isNotNull())
     out = {"search_text": F.array_join(F.transform(F.filter(words, lambda w: w["group"].isNull()), lambda w: w["token"]), " "), "removed": removed}
-    return out | {f"{name}_intent": F.exists(removed, lambda w, n=name: w["group"] == f"intent:{n}") for name in INTENTS}
+
+    def flag(name: str) -> Column:
+        return F.exists(removed, lambda w: w["group"] == f"intent:{name}")
+
+    return out | {f"{name}_intent": flag(name) for name in INTENTS}
 
 
 def _facts(measured: Column) -> Column:

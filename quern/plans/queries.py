@@ -129,7 +129,7 @@ def semi(s, d):
 # catalog
 
 
-@query("q_category_path", """WITH RECURSIVE up AS (SELECT p_partkey AS id, p_partkey // 10 AS parent, p_name AS path, 1 AS depth FROM part UNION ALL SELECT u.id, c.p_partkey // 10, c.p_name || ' > ' || u.path, u.depth + 1 FROM up u JOIN part c ON c.p_partkey = u.parent)
+@query("q_category_path", """WITH RECURSIVE up AS (SELECT p_partkey AS id, nullif(p_partkey // 10, p_partkey) AS parent, p_name AS path, 1 AS depth FROM part UNION ALL SELECT u.id, nullif(c.p_partkey // 10, c.p_partkey), c.p_name || ' > ' || u.path, u.depth + 1 FROM up u JOIN part c ON c.p_partkey = u.parent)
     SELECT id, arg_max(path, depth) AS path, max(depth)::INTEGER AS depth FROM up GROUP BY id""")
 def category_path(s, d):
     p = F.col("p_partkey")
@@ -374,7 +374,7 @@ def click_labels(s, d):
 
 
 @query("q_merge_brand_rules", """WITH r AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 <> 0 THEN lower(p_brand) END AS c, CASE WHEN p_partkey % 3 <> 0 THEN p_size / 50.0 END AS p, CASE p_partkey % 4 WHEN 0 THEN [lower(p_brand)] WHEN 1 THEN ['zz', 'a b'] ELSE [] END AS g FROM part),
-    a AS (SELECT *, c IS NOT NULL AND len(g) > 0 AND len(list_filter(g, x -> contains(x, c) OR contains(c, x))) > 0 AS agree FROM r),
+    a AS (SELECT *, c IS NOT NULL AND len(g) > 0 AND len(list_filter(g, lambda x: contains(x, c) OR contains(c, x))) > 0 AS agree FROM r),
     b AS (SELECT *, CASE WHEN agree THEN 'high' WHEN c IS NOT NULL AND len(g) = 0 THEN CASE WHEN p >= 0.9 THEN 'high' WHEN p >= 0.7 THEN 'medium' ELSE 'low' END WHEN c IS NULL AND len(g) > 0 THEN 'medium' END AS brand_confidence FROM a),
     t AS (SELECT *, CASE WHEN c IS NOT NULL AND len(g) > 0 AND NOT agree THEN 'golden_conflict' WHEN brand_confidence = 'low' THEN 'golden_low' ELSE 'train' END AS route FROM b)
     SELECT id, brand_confidence, route, CASE WHEN route = 'train' THEN CASE WHEN c IS NOT NULL THEN c ELSE g[1] END END AS brand_final FROM t""")
@@ -457,8 +457,8 @@ def silver_candidates(s, d):
 
 
 @query("q_attribute_candidates", f"""WITH {PAIRS}, sr AS (SELECT *, row_number() OVER (PARTITION BY query_canonical ORDER BY evidence_score DESC, sku_id) AS k FROM pairs),
-    at AS (SELECT p_partkey AS sku_id, CASE WHEN p_partkey % 2 = 0 THEN 'color' ELSE 'material' END AS entity_type, split_part(p_name, ' ', 1) AS attribute_value FROM part),
-    sc AS (SELECT query_canonical, entity_type, attribute_value, round(sum(evidence_score), 9) AS score FROM sr JOIN at USING (sku_id) WHERE k <= 10 GROUP BY ALL),
+    av AS (SELECT p_partkey AS sku_id, CASE WHEN p_partkey % 2 = 0 THEN 'color' ELSE 'material' END AS entity_type, split_part(p_name, ' ', 1) AS attribute_value FROM part),
+    sc AS (SELECT query_canonical, entity_type, attribute_value, round(sum(evidence_score), 9) AS score FROM sr JOIN av USING (sku_id) WHERE k <= 10 GROUP BY ALL),
     rk AS (SELECT *, round(score / nullif(sum(score) OVER (PARTITION BY query_canonical, entity_type), 0), 6) AS confidence, row_number() OVER (PARTITION BY query_canonical, entity_type ORDER BY score DESC, attribute_value) AS candidate_rank FROM sc) SELECT query_canonical, entity_type, attribute_value, confidence FROM rk WHERE candidate_rank <= 10 AND confidence >= 0.8""")
 def attribute_candidates(s, d):
     pairs = fx.pairs(s, d)
