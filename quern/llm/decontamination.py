@@ -248,7 +248,7 @@ def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     mine = docs.withColumn("all", F.lit(True)).mapInArrow(cuts, "id long, h long")
     asked = benchmark.mapInArrow(cuts, "id long, h long")
     pairs = mine.withColumnRenamed("id", "doc").join(asked.withColumnRenamed("id", "item"), "h").select("doc", "item").distinct()
-    full = pairs.join(docs.toDF("doc", "text"), "doc").join(benchmark.toDF("item", "asked"), "item")
+    full = pairs.join(docs, pairs.doc.eqNullSafe(docs.doc_id)).join(benchmark.toDF("item", "asked"), "item")
     return full.select("doc", "item", "text", "asked").mapInArrow(check, RESULT)
 
 
