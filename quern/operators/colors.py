@@ -72,13 +72,13 @@ def classify_values(values: DataFrame, column: str, aliases: DataFrame) -> DataF
     """Adds normalized, color_id, mapping_reason. One color among the words: that; several: multicolor; none: null, for review."""
     named = values.withColumn("normalized", normalize_color(F.col(column)))
     words = named.select("normalized").distinct().select("normalized", F.explode(F.split("normalized", " ")).alias("word"))
-    found = words.join(aliases.select(F.col("normalized").alias("word"), "color_id"), "word").groupBy("normalized").agg(F.count_distinct("color_id").alias("n"), F.min("color_id").alias("only"))
-    phrases = aliases.sparkSession.createDataFrame(list(PHRASES.items()), "normalized string, phrase string")
+    found = words.join(aliases.select(F.col("normalized").alias("word"), F.col("color_id").alias("_color")), "word").groupBy("normalized").agg(F.count_distinct("_color").alias("_colors"), F.min("_color").alias("_only"))
+    phrases = aliases.sparkSession.createDataFrame(list(PHRASES.items()), "normalized string, _phrase string")
     joined = named.join(found, "normalized", "left").join(phrases, "normalized", "left")
     empty = F.col("normalized") == ""
-    color = F.when(empty, None).when(F.col("phrase").isNotNull(), F.col("phrase")).when(F.col("n") == 1, F.col("only")).when(F.col("n") > 1, "multicolor")
-    reason = F.when(empty, "empty").when(F.col("phrase").isNotNull(), "phrase_override").when(F.col("n") == 1, "color_anchor").when(F.col("n") > 1, "multiple_color_anchors").otherwise("no_safe_anchor")
-    return joined.withColumns({"color_id": color, "mapping_reason": reason}).drop("n", "only", "phrase")
+    color = F.when(empty, None).when(F.col("_phrase").isNotNull(), F.col("_phrase")).when(F.col("_colors") == 1, F.col("_only")).when(F.col("_colors") > 1, "multicolor")
+    reason = F.when(empty, "empty").when(F.col("_phrase").isNotNull(), "phrase_override").when(F.col("_colors") == 1, "color_anchor").when(F.col("_colors") > 1, "multiple_color_anchors").otherwise("no_safe_anchor")
+    return joined.withColumns({"color_id": color, "mapping_reason": reason}).drop("_colors", "_only", "_phrase")
 
 
 def color_dictionary(values: DataFrame, column: str, count: str, aliases: DataFrame) -> DataFrame:
