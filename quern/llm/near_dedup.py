@@ -4,9 +4,10 @@
 2. A class has ``bands * rows`` MinHash samples. Bands deal out candidates; the samples, tagged with their position, are folded
    into an odd sketch: a bitmap in which each sample flips one bit. The population count of two sketches' XOR estimates how many
    samples differ, most precisely at high similarity.
-3. First each class is tried against the best leader of its bands only, which joins large groups with one comparison a member. Then all
-   pairs that share a band and still lie in different components are tried. The sketch drops pairs more than six standard
-   deviations below the threshold; the rest are confirmed on full shingle sets.
+3. First each class is tried against the best leader of its bands only, which joins large groups with one comparison a member; in
+   another round, against the best of new leaders from the largest component of each band. Then all pairs that share a band and
+   still lie in different components are compared inside a join. The sketch drops pairs four standard deviations below the
+   threshold; the rest are decided on full shingle sets, and only confirmed links leave the join.
 4. Components are found by star contraction on the confirmed links.
 
 Full sets are made only for texts in a candidate pair; a fixed-size Bloom bitmap of their ids keeps other texts out of the shuffle.
@@ -26,6 +27,7 @@ from quern.llm.components import components
 
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**48 < 1e-6
 SKETCH_BITS = 512
+STAR_ROUNDS = 1  # rounds of new leaders before the remaining pairs are tried
 BLOOM_WORDS = 1 << 18  # 2 MB of bits at every input size; when full it lets more texts through, never fewer
 
 
@@ -59,10 +61,11 @@ def odd_sketch(sample: np.ndarray, bits: int) -> np.ndarray:
 
 
 def most_differing(threshold: float, samples: int, bits: int) -> int:
-    """The largest XOR count kept: six standard deviations beyond what pairs at the threshold show."""
-    d = samples * (1 - threshold) + 6 * (samples * threshold * (1 - threshold)) ** 0.5
-    p = (1 - (1 - 2 / bits) ** (2 * min(d, samples))) / 2
-    return int(bits * p + 6 * (bits * p * (1 - p)) ** 0.5) + 1
+    """The largest XOR count kept: what pairs show whose samples differ four standard deviations more than at the threshold, and four more."""
+    m = 2 * (samples * (1 - threshold) + 4 * (samples * threshold * (1 - threshold)) ** 0.5)
+    one, two = (1 - 2 / bits) ** m, (1 - 4 / bits) ** m  # mean sign of one bit, and of two bits together
+    variance = (bits + bits * (bits - 1) * two - (bits * one) ** 2) / 4
+    return int(bits * (1 - one) / 2 + 4 * variance**0.5) + 1
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -101,7 +104,7 @@ def _bloom(ids: DataFrame) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, ids: DataFrame) -> DataFrame:
-    """(id, items) for the rows whose id may be in ``ids``; items is the packed sorted set of shingle hashes."""
+    """(id, items) for the rows whose id may be in ``ids``; items is the sorted set of shingle hashes."""
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(_bloom(ids))
     lean = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.array(*[F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(i)), F.lit(BLOOM_WORDS * 64)) for i in range(3)]).alias("p"))
@@ -114,20 +117,25 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, ids: Da
             p = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 3)
             hit = ((bits.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)
             kept = batch.filter(pa.array(hit & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
-            sets = [shingle_set(cache, t, shingle).tobytes() for t in binary(kept.column(1))]
-            yield pa.RecordBatch.from_arrays([kept.column(0), pa.array(sets, pa.binary())], names=["id", "items"])
+            sets = [shingle_set(cache, t, shingle).view(np.int64) for t in binary(kept.column(1))]
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            items = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([kept.column(0), items], names=["id", "items"])
 
-    return lean.mapInArrow(run, "id long, items binary")
+    return lean.mapInArrow(run, "id long, items array<long>")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on their full sets."""
+    """The pairs (a, b), by sets with one row an id, with 100 * intersection >= percent * union on their full sets."""
+
+    def lists(column) -> list[np.ndarray]:
+        ends, items = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+        return [items[i:j] for i, j in zip(ends, ends[1:], strict=False)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for p, q in zip(lists(batch.column(2)), lists(batch.column(3)), strict=True):
                 if len(p) > len(q):
                     p, q = q, p
                 at = np.searchsorted(q, p)
@@ -135,16 +143,61 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 hit.append(100 * same >= percent * (len(p) + len(q) - same) and same > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    one = sets.dropDuplicates(["id"])
-    full = pairs.join(one.withColumnRenamed("id", "a").withColumnRenamed("items", "x"), "a").join(one.withColumnRenamed("id", "b").withColumnRenamed("items", "y"), "b")
+    full = pairs.join(sets.withColumnRenamed("id", "a").withColumnRenamed("items", "x"), "a").join(sets.withColumnRenamed("id", "b").withColumnRenamed("items", "y"), "b")
     return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def _close(a: str, b: str, percent: int, samples: int) -> F.Column:
     """Sizes that allow the threshold, and sketches near enough; stays in JVM code."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differing = sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differing <= most_differing(percent / 100, samples, SKETCH_BITS))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (_differing(a, b) <= most_differing(percent / 100, samples, SKETCH_BITS))
+
+
+def _differing(a: str, b: str) -> F.Column:
+    return sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+
+
+def _near(pairs: DataFrame, lean: DataFrame, percent: int, samples: int) -> DataFrame:
+    """The (id, leader) pairs whose sketches are near enough, with the number d of differing bits."""
+    met = pairs.alias("t").join(lean.alias("x"), F.col("t.id") == F.col("x.id")).join(lean.alias("y"), F.col("t.leader") == F.col("y.id"))
+    return met.filter(_close("x", "y", percent, samples)).select("t.id", "t.leader", _differing("x", "y").alias("d"))
+
+
+def _best(close: DataFrame) -> DataFrame:
+    """For each id the nearest leader, as (a, b)."""
+    return close.groupBy(F.col("id").alias("a")).agg(F.min(F.struct("d", "leader")).alias("m")).select("a", F.col("m.leader").alias("b"))
+
+
+def _ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.col(a).alias("id")).union(pairs.select(F.col(b).alias("id"))).distinct()
+
+
+def _placed(dealt: DataFrame, joined: DataFrame) -> DataFrame:
+    """(id, key, comp): each id with its component so far."""
+    return dealt.join(joined, "id", "left").select("id", "key", F.coalesce("component", "id").alias("comp"))
+
+
+def _new_leaders(placed: DataFrame, again: int) -> DataFrame:
+    """Per band a member of its largest component, by another hash each round, paired with the members of other components."""
+    groups = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id", "key", F.lit(again)).alias("h"), "id")).alias("m"))
+    top = groups.groupBy("key").agg(F.max(F.struct("n", F.col("comp").alias("top"), F.col("m.id").alias("leader"))).alias("t"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "t.top", "t.leader")
+    return placed.join(top, "key").filter(F.col("comp") != F.col("top")).select("id", "leader").distinct()
+
+
+class _Sets:
+    """Full sets of the ids asked for so far; only those not made yet cost another pass over the texts."""
+
+    def __init__(self, *source):
+        self.source, self.made, self.held = source, None, None
+
+    def add(self, ids: DataFrame) -> None:
+        new = ids if self.held is None else ids.join(self.held, "id", "left_anti")
+        new = cut(new)
+        if self.made is None or new.take(1):
+            got = full_sets(*self.source, new).join(new, "id", "left_semi").dropDuplicates(["id"])
+            got = stored(got, "near-sets")
+            self.made = got if self.made is None else self.made.union(got)
+            self.held = new if self.held is None else self.held.union(new)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -164,38 +217,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one leader a band; each class is compared with the leader whose sketch is nearest
     dealt = reps.select("id", F.explode("bands").alias("key"))
     leaders = dealt.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "leader")
-    tried = dealt.join(leaders, "key").filter(F.col("id") != F.col("leader")).select("id", "leader").distinct()
-    differing = sum((F.bit_count(F.col("x.sketch")[i].bitwiseXOR(F.col("y.sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    first = (
-        tried.alias("t")
-        .join(lean.alias("x"), F.col("t.id") == F.col("x.id"))
-        .join(lean.alias("y"), F.col("t.leader") == F.col("y.id"))
-        .filter(_close("x", "y", percent, samples))
-        .groupBy(F.col("t.id").alias("a"))
-        .agg(F.min(F.struct(differing.alias("d"), F.col("t.leader").alias("b"))).alias("m"))
-        .select("a", F.col("m.b").alias("b"))
-    )
-    first = cut(first)
-    ids = first.select(F.col("a").alias("id")).union(first.select(F.col("b").alias("id"))).distinct()
-    linked = cut(verify(first, full_sets(docs, id_col, text_col, shingle, ids), percent))
-    joined = cut(components(linked, "a", "b"))
+    close = cut(_near(dealt.join(leaders, "key").filter(F.col("id") != F.col("leader")).select("id", "leader").distinct(), lean, percent, samples))
+    sets = _Sets(docs, id_col, text_col, shingle)
+    sets.add(_ends(close, "id", "leader"))
+    links = cut(verify(_best(close), sets.made, percent))
+    joined = cut(components(links, "a", "b"))
 
     # what still lies apart within a band
-    placed = reps.join(joined, "id", "left").select("id", "n", "sketch", "bands", F.coalesce("component", "id").alias("comp"))
-    dealt = placed.select("id", "comp", F.explode("bands").alias("key"))
+    dealt = _placed(dealt, joined)
     apart = dealt.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    rest = cut(dealt.join(apart, "key", "left_semi"))
-    members = rest.join(lean, "id")
-    pairs = (
-        members.alias("x")
-        .join(members.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & _close("x", "y", percent, samples))
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        .distinct()
-    )
-    pairs = cut(pairs)
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    more = cut(verify(pairs, full_sets(docs, id_col, text_col, shingle, ids), percent))
-    final = components(linked.union(more), "a", "b") if more.take(1) else joined
+    rest = cut(dealt.join(apart, "key", "left_semi").select("id", "key"))
+    for again in range(STAR_ROUNDS):
+        pairs = _best(_near(_new_leaders(_placed(rest, joined), again), lean, percent, samples))
+        pairs = cut(pairs)
+        if not pairs.take(1):
+            break
+        sets.add(_ends(pairs, "a", "b"))
+        more = cut(verify(pairs, sets.made, percent))
+        if not more.take(1):
+            break
+        links = links.union(more)
+        joined = cut(components(links, "a", "b"))
+    # classes with a near partner in another component, then pair by pair on full sets inside a join that only confirmed links leave
+    members = _placed(rest, joined)
+    apart = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    members = cut(members.join(apart, "key", "left_semi").join(lean, "id"))
+    x, y = members.alias("x"), members.alias("y")
+    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _close("x", "y", percent, samples)
+    live, final = cut(x.join(y, near, "left_semi")), joined
+    if live.take(1):
+        sets.add(live.select("id").distinct())
+        full = live.join(sets.made, "id")
+        x, y = full.alias("x"), full.alias("y")
+        same = F.size(F.array_intersect("x.items", "y.items"))
+        exact = same * 100 >= (F.col("x.n") + F.col("y.n") - same) * percent
+        more = cut(x.join(y, (F.col("x.id") < F.col("y.id")) & near & exact).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+        final = components(links.union(more), "a", "b") if more.take(1) else joined
 
     classes = reps.join(final, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
     out = sig.select("id", "n", "h1", "h2").join(classes, ["h1", "h2"], "left")
