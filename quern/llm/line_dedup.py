@@ -2,9 +2,10 @@
 
 A line's shingles are its character runs of up to twelve, begun at each word and every eight characters of longer words. Hash order
 stands in for random permutations: the thirteen least hashes are its MinHash signature, and each two neighbours among them a band key.
-Two lines of similarity 0.8 miss every key with a probability below 0.1 %. Lines are tried against the least line of each key first; then
-lines of a key that still lie in different components, if their signatures overlap enough, against each other. Pairs are confirmed by exact
-Jaccard similarity, components found by star contraction, and the first line in (doc_id, position) order of each component is kept.
+Two lines of similarity 0.8 miss every key with a probability below 0.1 %. Lines are tried against the commonest line of each key first, then
+against one of the key's largest component; lines of a key that still lie in different components, if their signatures overlap enough, are
+compared with each other inside a join that only confirmed links leave. Pairs are confirmed by exact Jaccard similarity, components found
+by star contraction, and the first line in (doc_id, position) order of each component is kept.
 
 Key rows hold two longs; shingle sets are made only for lines in a candidate pair. Equal lines are one line throughout, counted by a
 map-side partial aggregate, so a line that stands in a third of all documents makes no large group.
@@ -14,12 +15,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quern.llm.common import bounded, cut, table
 from quern.llm.components import components
 
 SIGNATURE = 13
-OVERLAP = 4  # of the signature; fewer shared hashes at similarity 0.8 are rarer than one in ten thousand
+OVERLAP = 6  # common bits of two signatures' 64-bit masks; at similarity 0.8 about ten of the thirteen hashes are shared
 SHINGLE = r"(?s)(?=(.{1,12}))\S{1,8}"
 
 
@@ -42,25 +44,43 @@ def _keys(low: str) -> Column:
     return F.explode(pairs)
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more, and the rest: column ``ok``."""
+def _sets(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, s) of the lines in a candidate pair."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = lines.select("id", "line").join(bounded(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")).select("id", _set("line").alias("s"))
-    sets = cut(sets)
+    return cut(lines.select("id", "line").join(bounded(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")).select("id", _set("line").alias("s")))
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with ``ok``: whether their shingle sets have a Jaccard similarity of ``percent`` / 100 or more."""
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    same = F.size(F.array_intersect("x", "y"))
-    return both.select("a", "b", (same * 100 >= (F.size("x") + F.size("y") - same) * percent).alias("ok"))
+    return both.select("a", "b", _similar(F.col("x"), F.col("y"), percent).alias("ok"))
+
+
+def _leader(*order) -> Column:
+    """The first id of each key's lines; a running value, so no group is held in memory."""
+    return F.first("id").over(Window.partitionBy("key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _new_leaders(keyed: DataFrame) -> DataFrame:
+    """Per key a line of its largest component, paired with the lines of other components."""
+    groups = keyed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("m"))
+    top = groups.groupBy("key").agg(F.max(F.struct("n", F.col("comp").alias("top"), F.col("m.id").alias("leader"))).alias("t"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "t.top", "t.leader")
+    return keyed.join(top, "key").filter(F.col("comp") != F.col("top")).select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+
 
+def _similar(x: Column, y: Column, percent: int) -> Column:
+    same = F.size(F.array_intersect(x, y))
+    return same * 100 >= (F.size(x) + F.size(y) - same) * percent
 
-def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
-    """(id, component) of the lines that are like another."""
-    signed = lines.select("id", F.slice(_set("line"), 1, SIGNATURE).alias("low"))
-    dealt = signed.select("id", _keys("low").alias("key"))
-    from pyspark.sql import Window
 
-    least = F.first("id").over(Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    tried = cut(dealt.select("id", least.alias("b")).filter("id <> b").select(F.col("id").alias("a"), "b").distinct())
-    checked = cut(_verified(tried, lines, percent))
+def line_components(lines: DataFrame, spots: DataFrame, percent: int = 80) -> DataFrame:
+    """(id, component) of the lines that are like another. ``spots`` has id, the first place ``at`` and the number n of each line."""
+    often = bounded(spots.filter("n > 1").select("id", "n", "at"))
+    unique = lines.join(often, "id", "left").filter("at IS NULL OR (doc_id = at.doc_id AND pos = at.pos)")
+    dealt = unique.select("id", "n", F.slice(_set("line"), 1, SIGNATURE).alias("low")).select("id", F.coalesce("n", F.lit(1)).alias("n"), _keys("low").alias("key"))
+    tried = cut(dealt.select("id", _leader(F.col("n").desc(), "id").alias("b")).filter("id <> b").select(F.col("id").alias("a"), "b").distinct())
+    sets = _sets(tried, lines)
+    checked = cut(_checked(tried, sets, percent))
     linked = checked.filter("ok").select("a", "b")
     first = cut(components(linked, "a", "b"))
     failed = checked.filter("NOT ok")
@@ -69,24 +89,38 @@ def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
 
     # every line in the component of a line that failed its leader, or of that leader, is tried again within its keys
     comp = F.coalesce("component", "id")
-    ends = failed.select(F.col("a").alias("id")).union(failed.select(F.col("b").alias("id"))).distinct()
-    wanted = ends.join(first, "id", "left").select(comp.alias("comp")).distinct()
-    member = ends.join(first, "id", "left").select("id", comp.alias("comp")).union(first.select("id", F.col("component").alias("comp")).join(wanted, "comp", "left_semi").select("id", "comp")).distinct()
-    again = lines.join(bounded(member), "id").groupBy("id").agg(F.first("line").alias("line"), F.first("comp").alias("comp")).select("id", "comp", F.slice(_set("line"), 1, SIGNATURE).alias("low"))
-    again = cut(again)
-    keyed = again.select("id", "comp", "low", _keys("low").alias("key"))
-    apart = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    keyed = cut(keyed.join(apart, "key", "left_semi"))
-    x, y = keyed.alias("x"), keyed.alias("y")
-    near = F.size(F.array_intersect("x.low", "y.low")) >= F.least(F.lit(OVERLAP), F.size("x.low") - 1, F.size("y.low") - 1)
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    pairs = cut(pairs.join(failed.select("a", "b"), ["a", "b"], "left_anti"))
-    more = cut(_verified(pairs, lines, percent).filter("ok").select("a", "b"))
-    return cut(components(linked.union(more), "a", "b")) if more.take(1) else first
+    ends = failed.select(F.col("a").alias("id")).union(failed.select(F.col("b").alias("id"))).distinct().join(first, "id", "left").select("id", comp.alias("comp"))
+    member = ends.union(first.select("id", F.col("component").alias("comp")).join(ends.select("comp").distinct(), "comp", "left_semi").select("id", "comp")).distinct()
+    again = cut(sets.join(member.select("id").distinct(), "id", "left_semi"))
+    low = F.slice("s", 1, SIGNATURE)
+    mask = F.aggregate(low, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))))
+    lean = cut(again.select("id", F.size("s").alias("n"), mask.alias("mask"), low.alias("low")))
+
+    def keyed(joined: DataFrame) -> DataFrame:
+        """Key rows of a few longs, of the keys that several components share."""
+        dealt = lean.join(joined, "id", "left").select("id", comp.alias("comp"), "n", "mask", _keys("low").alias("key"))
+        apart = dealt.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+        return dealt.join(apart, "key", "left_semi")
+
+    fresh = _new_leaders(keyed(first)).join(failed.select("a", "b"), ["a", "b"], "left_anti")
+    linked = cut(linked.union(_checked(fresh, again, percent).filter("ok").select("a", "b")))
+    joined = cut(components(linked, "a", "b"))
+
+    # key rows with a near partner in another component, then pair by pair on full sets inside a join that only confirmed links leave
+    rest = cut(keyed(joined))
+    x, y = rest.alias("x"), rest.alias("y")
+    sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    near = sizes & (F.bit_count(F.col("x.mask").bitwiseAND(F.col("y.mask"))) >= F.least(F.lit(OVERLAP), F.expr("least(x.n, y.n) div 2")))
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & near
+    live = cut(x.join(y, apart, "left_semi").join(again, "id"))
+    x, y = live.alias("x"), live.alias("y")
+    met = (F.col("x.id") > F.col("y.id")) & apart & _similar(F.col("x.s"), F.col("y.s"), percent)
+    last = cut(x.join(y, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    return cut(components(linked.union(last), "a", "b")) if last.take(1) else joined
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """The table with later copies of lines removed from ``text_col``, and two more columns: n_lines (lines with text), n_dropped.
+    """The table with later copies of lines removed from ``text_col``, and two more columns: n_lines (lines with text, before), n_dropped.
 
     Lines are compared in lower case without white space at their ends; a component of lines, linked at a Jaccard similarity of
     ``percent`` / 100, keeps the one first in (id, position) order. Blank lines stay. A null text stays null with 0 lines; documents with a
@@ -95,7 +129,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     lines = _lines(docs, id_col, text_col)
     spots = cut(lines.groupBy("id").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count(F.lit(1)).alias("n")))
-    placed = spots.join(line_components(lines, percent), "id", "left").withColumn("comp", F.coalesce("component", "id"))
+    placed = spots.join(line_components(lines, spots, percent), "id", "left").withColumn("comp", F.coalesce("component", "id"))
     keeper = placed.filter("n > 1 OR component IS NOT NULL")
     first = keeper.groupBy("comp").agg(F.min("at").alias("keep"))
     repeated = keeper.select("id", "comp").join(first, "comp").select("id", "keep")
@@ -105,7 +139,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     split = F.split(F.col(text_col).cast("string"), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(split, i + 1)), "\n"))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.filter(split, lambda x: F.trim(x, F.lit(" \t\r\x0b\x0c")) != "")))
+    n_lines = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\n]*[^ \t\r\x0b\x0c\n][^\n]*")), F.lit(0))
     return rows.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"), text_col: text}).drop("__gone", "__doc")
 
 
