@@ -1,4 +1,4 @@
-"""Annotation of query streams. The reference semantics have no event time or state; row-wise operators run on streams unchanged."""
+"""Annotation of query streams. Queries carry no event time and the operators no state, so they run on streams unchanged."""
 
 from __future__ import annotations
 
