@@ -2,7 +2,8 @@
 
 Texts are canonicalised: case and punctuation go, numbers, units and names become typed placeholders. Windows of template words are hashed
 and joined with those of the benchmark. Matches on one alignment form runs; a run of ``need`` words, or a whole shorter item, counts if its
-slots are consistent: within the run, equal values of the item stand for equal values of the text. So re-parameterised questions are
+slots are consistent: within the run, equal values of the item stand for equal values of the text. Where slots clash, the longest part
+without a clash counts as a run. So re-parameterised questions are
 caught, and texts that share a template by chance with clashing values are not.
 
 The benchmark side of the join is broadcast while its windows are at most BROADCAST_WINDOWS; a larger one is joined by shuffle.
@@ -140,19 +141,24 @@ def item_windows(items: list[tuple[int, bytes | None]]) -> dict[int, dict[int, l
     return {w: dict(x) for w, x in found.items()}
 
 
-def consistent(doc: Template, item: Template, at: int, to: int, n: int) -> int | None:
-    """Slots of the run whose value differs from the item's; None if templates differ or slots clash."""
-    stands: dict[tuple[str, str], str] = {}
-    changed = 0
+def consistent(doc: Template, item: Template, at: int, to: int, n: int) -> tuple[int, int, int]:
+    """The longest part of the run without clashing slots, as (words, first word, changed slots); the first of equally long ones."""
+    stands: dict[tuple[str, str], tuple[str, int]] = {}
+    best, begin, changed = (0, at, 0), 0, []
     for i in range(n):
         (value, kind), (asked, wanted) = doc.word(at + i), item.word(to + i)
+        changed.append(kind[:1] == "<" and value != asked)
         if kind != wanted:
-            return None
-        if kind[:1] == "<":
-            if stands.setdefault((kind, asked), value) != value:
-                return None
-            changed += value != asked
-    return changed
+            begin = i + 1
+        elif kind[:1] == "<":
+            other, last = stands.get((kind, asked), (value, -1))
+            if other != value:
+                begin = max(begin, last + 1)
+            stands[kind, asked] = value, i
+        if i + 1 - begin > best[0]:
+            best = i + 1 - begin, at + begin, 0
+    words, first, _ = best
+    return words, first, sum(changed[first - at : first - at + words])
 
 
 def matches(doc: Template, hits: list[tuple[int, int, int, int]], item_of) -> dict[int, tuple[int, int, int]]:
@@ -173,11 +179,11 @@ def matches(doc: Template, hits: list[tuple[int, int, int, int]], item_of) -> di
                 runs.append((begin, end))
                 begin, end = at, at + width
         for begin, end in [*runs, (begin, end)]:
-            n = end - begin
-            if n >= min(NEED, len(other)) and n > found.get(item, (0,))[0]:
-                changed = consistent(doc, other, begin, begin - shift, n)
-                if changed is not None:
-                    found[item] = n, begin, changed
+            least = max(min(NEED, len(other)), found.get(item, (0,))[0] + 1)
+            if end - begin >= least:
+                part = consistent(doc, other, begin, begin - shift, end - begin)
+                if part[0] >= least:
+                    found[item] = part
     return found
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from quern.llm import line_dedup
+from quern.llm import decontamination, line_dedup
 
 
 def every_offset(line: str) -> set[str]:
@@ -38,3 +38,13 @@ def test_line_dedup_takes_every_offset(spark):
     assert len(want) > 30
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     assert {x["doc_id"] for x in line_dedup.dedup_lines(docs).collect() if x["n_dropped"]} == want
+
+
+def test_decontamination_keeps_the_part_beside_a_clash(spark):
+    item = "The train leaves Springfield at 45 km and costs 12 usd while the other train leaves at 45 km sharp today"
+    texts = [(1, item.replace("45", "77", 1)), (2, item.replace("45", "77")), (3, item.replace("45 km sharp", "77 km sharp")), (4, "The train leaves Springfield at 45 km and 9 usd"), (5, item.replace("12", "45").replace("45", "77", 1))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for broadcast in (True, False):
+        got = {x["doc_id"]: (x["first_word"], x["n_words"], x["n_changed"]) for x in decontamination.contaminated(docs, bench, broadcast=broadcast).collect()}
+        assert got == {1: (0, 17, 1), 2: (0, 21, 2), 3: (0, 17, 0), 5: (0, 17, 2)}
