@@ -88,13 +88,11 @@ def word_hashes(cache: WordHashes, words: list[bytes]) -> np.ndarray:
 
 
 def windows(h: np.ndarray, k: int) -> np.ndarray:
-    """A 64-bit hash of each k-word window, in order; none if there are fewer words."""
-    n = len(h) - k + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
-    acc = np.zeros(n, dtype=np.uint64)
-    for i in range(k):
-        acc = acc * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
+    """A 64-bit hash of each k-word window along the last axis, in order; none if there are fewer words."""
+    n = max(h.shape[-1] - k + 1, 0)
+    acc = np.zeros((*h.shape[:-1], n), dtype=np.uint64)
+    for i in range(k if n else 0):
+        acc = acc * np.uint64(0x9E3779B97F4A7C15) + h[..., i : i + n]
     return mix(acc)
 
 

@@ -1,7 +1,9 @@
 """Benchmark decontamination by template windows.
 
 Texts are canonicalised: case and punctuation go, numbers, units and names become typed placeholders. Windows of template words are hashed
-and joined with those of the benchmark. Matches on one alignment form runs; a run of ``need`` words, or a whole shorter item, counts if its
+and joined with those of the benchmark, each in several forms, for capitals at the start of a sentence or line tell no names: as the
+sentences stand, with capitalised words as names everywhere, and with names nowhere, or word by word where few words are literal. Around
+a match the run grows over all words that agree in any form. Matches on one alignment form runs; a run of ``need`` words, or a whole shorter item, counts if its
 slots are consistent: within the run, equal values of the item stand for equal values of the text. Where slots clash, the longest part
 without a clash counts as a run. So re-parameterised questions are
 caught, and texts that share a template by chance with clashing values are not.
@@ -48,6 +50,7 @@ class Vocabulary(dict):
         self.words: list[tuple[str, str, str]] = []
         self.inside = np.zeros(CACHE_WORDS + 1, dtype=np.uint64)  # hash of its template within a sentence
         self.first = np.zeros(CACHE_WORDS + 1, dtype=np.uint64)  # and at the start of one
+        self.exact = np.zeros(CACHE_WORDS + 1, dtype=np.uint64)  # of the word itself
         self.literal = np.zeros((2, CACHE_WORDS + 1), dtype=bool)
         self.ends = np.zeros(CACHE_WORDS + 1, dtype=bool)
         self.void = np.zeros(CACHE_WORDS + 1, dtype=bool)  # no word: a line break, or punctuation alone
@@ -65,6 +68,7 @@ class Vocabulary(dict):
             inside = "<name>"
         self.words.append((low, inside, plain))
         self.inside[at], self.first[at] = xxhash.xxh3_64_intdigest(inside), xxhash.xxh3_64_intdigest(plain)
+        self.exact[at] = xxhash.xxh3_64_intdigest(low)
         self.literal[:, at] = inside[:1] != "<", plain[:1] != "<"
         self.ends[at] = raw == BREAK or bool(SENTENCE_END.search(text))
         self.void[at] = raw == BREAK or not core
@@ -91,24 +95,28 @@ class Template:
             before = np.append([-1], prior[:-1])
             start = last > before
         self.vocabulary, self.ids, self.start = vocabulary, ids[keep], start[keep]
-        self.h = np.where(self.start, vocabulary.first[self.ids], vocabulary.inside[self.ids])
-        self.literal = np.where(self.start, vocabulary.literal[1][self.ids], vocabulary.literal[0][self.ids])
 
     def __len__(self) -> int:
         return len(self.ids)
 
-    def word(self, i: int) -> tuple[str, str]:
-        """The value and the template word at i."""
-        low, inside, plain = self.vocabulary.words[self.ids[i]]
-        return low, plain if self.start[i] else inside
+    def word(self, i: int) -> tuple[str, str, str, bool]:
+        """The value at i, its template word inside a sentence and at the start of one, and whether it stands at a start."""
+        return *self.vocabulary.words[self.ids[i]], self.start[i]
 
     def hashes(self, width: int) -> np.ndarray:
-        return windows(self.h, width)
+        """Window hashes in four forms: as sentences stand, names everywhere, names nowhere, the words themselves."""
+        v = self.vocabulary
+        inside, first = v.inside[self.ids], v.first[self.ids]
+        return windows(np.stack([np.where(self.start, first, inside), inside, first, v.exact[self.ids]]), width)
 
     def usable(self, width: int) -> np.ndarray:
-        n = len(self) - width + 1
-        sums = np.append([0], np.cumsum(self.literal))
-        return sums[width:] - sums[:-width] >= min(LITERALS, width) if n > 0 else np.zeros(0, dtype=bool)
+        """By form, whether a window tells enough; the words themselves stand in for windows with few literals."""
+        n = max(len(self) - width + 1, 0)
+        inside, first = self.vocabulary.literal[0][self.ids], self.vocabulary.literal[1][self.ids]
+        sums = np.zeros((3, len(self) + 1), dtype=np.int64)
+        np.cumsum(np.stack([np.where(self.start, first, inside), inside, first]), axis=1, out=sums[:, 1:])
+        enough = sums[:, width : width + n] - sums[:, :n] >= min(LITERALS, width)
+        return np.concatenate([enough, ~enough[2:]])
 
 
 def _of(cls, n: int):
@@ -116,6 +124,7 @@ def _of(cls, n: int):
     dict.__init__(made)
     made.words = []
     made.inside, made.first = np.zeros(n + 1, dtype=np.uint64), np.zeros(n + 1, dtype=np.uint64)
+    made.exact = np.zeros(n + 1, dtype=np.uint64)
     made.literal, made.ends, made.void = np.zeros((2, n + 1), dtype=bool), np.zeros(n + 1, dtype=bool), np.zeros(n + 1, dtype=bool)
     return made
 
@@ -135,50 +144,59 @@ def item_windows(items: list[tuple[int, bytes | None]]) -> dict[int, dict[int, l
         t = Template(vocabulary, text)
         if width := width_of(len(t)):
             usable = t.usable(width)
-            for at, h in enumerate(t.hashes(width).tolist()):
-                if usable[at]:
+            for at, forms in enumerate(t.hashes(width).T.tolist()):
+                for h in {h for h, tells in zip(forms, usable[:, at], strict=True) if tells}:
                     found[width][h].append((item, at))
     return {w: dict(x) for w, x in found.items()}
 
 
+def agree(here: tuple[str, str, str, bool], asked: tuple[str, str, str, bool]) -> str | None:
+    """The kind of slot, or the literal, as which two words agree; None if they don't. Of two words at starts neither tells a name."""
+    if here[2] == asked[2] and here[2][:1] == "<":
+        return here[2]
+    if here[1] == asked[1] == "<name>" and not (here[3] and asked[3]):
+        return here[1]
+    return here[0] if here[0] == asked[0] else None
+
+
 def consistent(doc: Template, item: Template, at: int, to: int, n: int) -> tuple[int, int, int]:
     """The longest part of the run without clashing slots, as (words, first word, changed slots); the first of equally long ones."""
     stands: dict[tuple[str, str], tuple[str, int]] = {}
-    best, begin, changed = (0, at, 0), 0, []
+    best, begin, changed = (0, at), 0, []
     for i in range(n):
-        (value, kind), (asked, wanted) = doc.word(at + i), item.word(to + i)
-        changed.append(kind[:1] == "<" and value != asked)
-        if kind != wanted:
+        here, asked = doc.word(at + i), item.word(to + i)
+        value, kind = here[0], agree(here, asked)
+        changed.append(value != asked[0])
+        if kind is None:
             begin = i + 1
         elif kind[:1] == "<":
-            other, last = stands.get((kind, asked), (value, -1))
+            other, last = stands.get((kind, asked[0]), (value, -1))
             if other != value:
                 begin = max(begin, last + 1)
-            stands[kind, asked] = value, i
+            stands[kind, asked[0]] = value, i
         if i + 1 - begin > best[0]:
-            best = i + 1 - begin, at + begin, 0
-    words, first, _ = best
+            best = i + 1 - begin, at + begin
+    words, first = best
     return words, first, sum(changed[first - at : first - at + words])
 
 
 def matches(doc: Template, hits: list[tuple[int, int, int, int]], item_of) -> dict[int, tuple[int, int, int]]:
     """Per item the longest consistent run as (words, first word, changed slots). hits: (item, its position, position here, width)."""
-    lines: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+    lines: dict[tuple[int, int], set[tuple[int, int]]] = defaultdict(set)
     for item, to, at, width in hits:
-        lines[item, at - to].append((at, width))
+        lines[item, at - to].add((at, width))
     found: dict[int, tuple[int, int, int]] = {}
     for (item, shift), spots in lines.items():
-        spots.sort()
-        other = item_of(item)
-        begin, end = spots[0][0], spots[0][0] + spots[0][1]
-        runs = []
-        for at, width in spots[1:]:
-            if at <= end:
-                end = max(end, at + width)
-            else:
-                runs.append((begin, end))
-                begin, end = at, at + width
-        for begin, end in [*runs, (begin, end)]:
+        other, end = item_of(item), -1
+        first, last = max(shift, 0), min(len(doc), len(other) + shift)
+        for at, width in sorted(spots):
+            if at + width <= end:
+                continue
+            begin, end = at, at + width
+            while begin > first and agree(doc.word(begin - 1), other.word(begin - 1 - shift)) is not None:
+                begin -= 1
+            while end < last and agree(doc.word(end), other.word(end - shift)) is not None:
+                end += 1
             least = max(min(NEED, len(other)), found.get(item, (0,))[0] + 1)
             if end - begin >= least:
                 part = consistent(doc, other, begin, begin - shift, end - begin)
@@ -208,8 +226,8 @@ class Matcher:
         doc, hits = Template(self.vocabulary, text), []
         for width, found in self.index.items():
             h = doc.hashes(width)
-            for at in np.flatnonzero(self.bits[width][h & np.uint64((1 << 22) - 1)]).tolist():
-                hits += [(item, to, at, width) for item, to in found.get(int(h[at]), ())]
+            for form, at in np.argwhere(self.bits[width][h & np.uint64((1 << 22) - 1)]).tolist():
+                hits += [(item, to, at, width) for item, to in found.get(int(h[form, at]), ())]
         return matches(doc, hits, self.item) if hits else {}
 
 
@@ -224,7 +242,7 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
 
 def _fits(benchmark: DataFrame, text_col: str) -> bool:
     words = benchmark.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0] / 2
-    return words <= BROADCAST_WINDOWS
+    return words * 3 <= BROADCAST_WINDOWS  # a window has up to three forms
 
 
 def _matcher(benchmark: DataFrame, id_col: str, text_col: str):

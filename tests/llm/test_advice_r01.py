@@ -48,3 +48,19 @@ def test_decontamination_keeps_the_part_beside_a_clash(spark):
     for broadcast in (True, False):
         got = {x["doc_id"]: (x["first_word"], x["n_words"], x["n_changed"]) for x in decontamination.contaminated(docs, bench, broadcast=broadcast).collect()}
         assert got == {1: (0, 17, 1), 2: (0, 21, 2), 3: (0, 17, 0), 5: (0, 17, 2)}
+
+
+def test_decontamination_takes_words_at_starts_and_few_literals(spark):
+    short, medium = "What is the boiling point of water", "Which river flows past the old town of Ulm today"
+    numbers, long = "Compute 17 23 4 9", "The committee of Ulm met the delegates from Paris near the bridge over the river Rhine today"
+    bench = spark.createDataFrame(list(enumerate([short, medium, numbers, long], 1)), "item_id long, text string")
+    wrapped = long.replace(" Ulm", "\nUlm").replace(" Paris", "\nParis").replace(" Rhine", "\nRhine")
+    texts = [
+        (1, "Q 12 " + short + " at sea level", 1), (2, "Q 7 " + medium, 2), (3, "please " + medium.replace("Ulm", "Bonn"), 2), (4, "exercise: compute 17 23 4 9", 3), (5, "some text " + wrapped, 4),
+        (6, "Compute 17 23 4 8", None), (7, "How is the boiling point of", None), (8, "Who is the boiling point of water", None), (9, long.upper(), 4),
+    ]
+    docs = spark.createDataFrame([x[:2] for x in texts], "doc_id long, text string")
+    for broadcast in (True, False):
+        got = {(x["doc_id"], x["item_id"], x["n_changed"]) for x in decontamination.contaminated(docs, bench, broadcast=broadcast).collect()}
+        assert got == {(doc, item, int(doc == 3)) for doc, _, item in texts if item}
+    assert decontamination.decontaminate(docs, bench).count() == 3
