@@ -3,9 +3,10 @@
 A page is cut into lines, one a block. Lines inside navigation, notices, adverts, forms, comments and the like go by their structure. Where
 a page marks its article, the article's lines stay, for neighbouring pages may well carry the same passages. Every other line is at stake:
 pages of one host are ordered by URL path, each is aligned with its neighbours by longest common subsequence, and shared lines are deleted.
+Neighbours are the nearest pages before and after with other content: copies of a page would take all of it away.
 
-Only hashes of lines are sorted, by (host, path, page id), so a host with a third of all pages is spread over many ranges; the two
-pages at the edges of each range are compared on the driver, which gets two short rows a range.
+Only hashes and lengths of lines are sorted, by (host, path, page id), so a host with a third of all pages is spread over many ranges. A
+range hands on its last page and the last one before it with other content, once in each direction; the driver gets these short rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import cut, table
 
+SAME = 0.9  # share of the characters of the longer page in lines of the other, from which two pages are copies
 BROADCAST_PAGES = 200_000  # pages with deleted lines that are sent whole to every task; above, they are joined by shuffle
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""", re.S)
@@ -137,6 +139,16 @@ def host_path(url: str | None) -> tuple[str, str]:
     return (parts.hostname or "").lower(), parts.path.rstrip("/") or "/"
 
 
+NAMES = ["page_id", "host", "path", "hashes", "lengths", "stake"]
+KINDS = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+LEAN = "page_id long, host string, path string, hashes array<long>, lengths array<int>, stake array<int>"
+
+
+def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
 def _lean(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,65 +156,78 @@ def _lean(pages: DataFrame) -> DataFrame:
             for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = lines(html or "")
                 marked = any(article and not bad for _, article, bad in found)
-                every = [xxhash.xxh3_64_intdigest(t.encode()) >> 1 for t, article, bad in found if bad or not article]
+                every = [xxhash.xxh3_64_intdigest(t.encode()) >> 1 for t, _, _ in found]
                 stake = [] if marked else [k for k, (_, _, bad) in enumerate(found) if not bad]
                 if host := host_path(url)[0]:
-                    out.append((page, host, host_path(url)[1], every, stake))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["page_id", "host", "path", "hashes", "stake"])
+                    out.append((page, host, host_path(url)[1], every, [0 if bad else len(t) for t, _, bad in found], stake))
+            yield _batch(out, NAMES, KINDS)
 
-    return pages.mapInArrow(run, "page_id long, host string, path string, hashes array<long>, stake array<int>")
+    return pages.mapInArrow(run, LEAN)
 
 
-def _deleted(mine: tuple, other: tuple) -> set[int]:
-    """Lines at stake of one page that its neighbour shares; pages are (page_id, host, path, hashes, stake)."""
-    if mine[1] != other[1] or not mine[4] or mine[0] == other[0]:
-        return set()
-    return shared(mine[3], other[3]) & set(mine[4])
+def _copies(a: tuple, b: tuple) -> bool:
+    """Whether two pages of ``NAMES`` are one page or hold the same lines, dropped ones aside."""
+    if a[0] == b[0]:
+        return True
+    x, y = ({h: n for h, n in zip(p[3], p[4], strict=True) if n} for p in (a, b))
+    return sum(n for h, n in x.items() if h in y) >= SAME * max(sum(x.values()), sum(y.values()))
 
 
-def shared_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, gone): positions of the lines that a page shares with the page before or after it in its host's order of paths."""
+def _next(state: tuple, page: tuple) -> tuple:
+    """The last page and, before it, the last with other content, after ``page`` of the same or another host."""
+    last, other = state
+    if last is None or last[1] != page[1]:
+        return page, None
+    return page, other if _copies(last, page) else last
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, edge, at = None, True, -1
-        names, kinds = ["page_id", "gone", "host", "path", "hashes", "stake", "edge", "part"], [pa.int64(), pa.list_(pa.int32()), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.int32()]
 
-        def row(page, gone, edge, part):
-            keep = page[1:] if edge else (None,) * 4
-            return page[0], sorted(gone), *keep, edge, part
+def _neighbour(state: tuple, page: tuple) -> tuple | None:
+    """The nearest page of the host with other content."""
+    return next((p for p in state if p is not None and p[1] == page[1] and not _copies(p, page)), None)
+
 
-        from pyspark import TaskContext
+def _pass(parts: DataFrame, side: int) -> DataFrame:
+    """(page_id, gone): twice the position, plus ``side``, of each line at stake that the neighbour before (0) or after (1) shares."""
+    keys = ["host", "path", "page_id"]
+    order = parts.sortWithinPartitions(*keys, ascending=not side)
+    from pyspark import TaskContext
 
-        at, gone, first = TaskContext.get().partitionId(), set(), True
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None, None
+        for batch in batches:
+            for page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                state = _next(state, page)
+        at = TaskContext.get().partitionId()
+        yield _batch([(*p, at, k) for k, p in enumerate(state) if p], [*NAMES, "part", "k"], [*KINDS, pa.int32(), pa.int32()])
+
+    found: dict[int, list] = {}
+    for r in order.mapInArrow(ends, LEAN + ", part int, k int").collect():
+        found.setdefault(r["part"], [None, None])[r["k"]] = tuple(r)[:6]
+    into, state = {}, (None, None)
+    for part in sorted(found, reverse=bool(side)):
+        into[part] = state
+        last, other = found[part]
+        # a range with one host's copies alone hands on what came before them
+        state = (last, other) if other is not None else _next(state, last)
+    into = parts.sparkSession.sparkContext.broadcast(into)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = into.value.get(TaskContext.get().partitionId(), (None, None))
         for batch in batches:
             out = []
             for page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if before is not None:
-                    gone |= _deleted(before, page)
-                    if gone or first:
-                        out.append(row(before, gone, 1 if first else 0, at))
-                    first, gone = False, _deleted(page, before)
-                before = page
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-        if before is not None:
-            columns = list(zip(*([row(before, gone, 3 if first else 2, at)]), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    spark = pages.sparkSession
-    order = _lean(pages).repartitionByRange(F.col("host"), F.col("path"), F.col("page_id")).sortWithinPartitions("host", "path", "page_id")
-    found = cut(order.mapInArrow(run, "page_id long, gone array<int>, host string, path string, hashes array<long>, stake array<int>, edge int, part int"))
-    # edges: the first (1), last (2) or only (3) page of a range; two rows a range
-    edges = sorted((tuple(r) for r in found.filter("edge > 0").collect()), key=lambda r: (r[7], r[6] == 2))
-    more = []
-    for x, y in zip(edges, edges[1:], strict=False):
-        if x[7] != y[7]:
-            a, b = (x[0], *x[2:6]), (y[0], *y[2:6])
-            more += [(p[0], sorted(g)) for p, g in ((a, _deleted(a, b)), (b, _deleted(b, a))) if g]
-    gone = found.filter(F.size("gone") > 0).select("page_id", "gone")
-    return gone.union(spark.createDataFrame(more, "page_id long, gone array<int>")) if more else gone
+                if page[5] and (other := _neighbour(state, page)):
+                    out.append((page[0], [2 * k + side for k in sorted(shared(page[3], other[3]) & set(page[5]))]))
+                state = _next(state, page)
+            yield _batch(out, ["page_id", "gone"], [KINDS[0], KINDS[5]])
+
+    return order.mapInArrow(run, "page_id long, gone array<int>")
+
+
+def shared_lines(pages: DataFrame) -> DataFrame:
+    """(page_id, gone): the lines that a page shares with the page before or after it in its host's order of paths, as of ``_pass``."""
+    parts = cut(_lean(pages).repartitionByRange(F.col("host"), F.col("path"), F.col("page_id")))
+    return _pass(parts, 0).union(_pass(parts, 1))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -221,7 +246,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         for batch in batches:
             texts = []
             for html, away in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                found, away = lines(html or ""), set(away or ())
+                found, away = lines(html or ""), {g // 2 for g in away or ()}
                 marked = any(article and not bad for _, article, bad in found)
                 texts.append("\n\n".join(t for k, (t, article, bad) in enumerate(found) if not bad and (article if marked else k not in away)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

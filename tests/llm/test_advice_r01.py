@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from quern.llm import decontamination, line_dedup
+from quern.llm import decontamination, html_extraction, line_dedup
 
 
 def every_offset(line: str) -> set[str]:
@@ -64,3 +64,18 @@ def test_decontamination_takes_words_at_starts_and_few_literals(spark):
         got = {(x["doc_id"], x["item_id"], x["n_changed"]) for x in decontamination.contaminated(docs, bench, broadcast=broadcast).collect()}
         assert got == {(doc, item, int(doc == 3)) for doc, _, item in texts if item}
     assert decontamination.decontaminate(docs, bench).count() == 3
+
+
+def extracted(spark, pages: list[tuple[int, str, str]], parts: int = 1) -> dict[int, str]:
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(parts)
+    return {r["page_id"]: r["text"] for r in html_extraction.main_text(rows).collect()}
+
+
+def test_html_copies_are_no_neighbours(spark):
+    page = "<div>Menu of the site</div><div>Story {0}, as told in plain words, number {0}</div><div>Foot</div>".format
+    copies = [(i, f"http{'s' * (i % 2)}://c.example/a?v={i}", page("one")) for i in range(40)]
+    others = [(100, "http://c.example/0", page("two")), (101, "http://c.example/b", page("three")), (102, "http://e.example/b", page("four")), (103, "http://e.example/b?x", page("four"))]
+    got = extracted(spark, copies + others)
+    assert all(got[i] == "Story one, as told in plain words, number one" for i in range(40))
+    assert got[100].startswith("Story two") and got[100].endswith("two") and got[101].endswith("number three")
+    assert got[102] == got[103] == "Menu of the site\n\nStory four, as told in plain words, number four\n\nFoot"
