@@ -155,9 +155,8 @@ def _lean(pages: DataFrame) -> DataFrame:
             out = []
             for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = lines(html or "")
-                marked = any(article and not bad for _, article, bad in found)
                 every = [xxhash.xxh3_64_intdigest(t.encode()) >> 1 for t, _, _ in found]
-                stake = [] if marked else [k for k, (_, _, bad) in enumerate(found) if not bad]
+                stake = [k for k, (_, article, bad) in enumerate(found) if not bad and not article]
                 if host := host_path(url)[0]:
                     out.append((page, host, host_path(url)[1], every, [0 if bad else len(t) for t, _, bad in found], stake))
             yield _batch(out, NAMES, KINDS)
@@ -187,7 +186,7 @@ def _neighbour(state: tuple, page: tuple) -> tuple | None:
 
 
 def _pass(parts: DataFrame, side: int) -> DataFrame:
-    """(page_id, gone): twice the position, plus ``side``, of each line at stake that the neighbour before (0) or after (1) shares."""
+    """(page_id, gone): positions of the lines at stake that the neighbour before (side 0) or after (1) shares."""
     keys = ["host", "path", "page_id"]
     order = parts.sortWithinPartitions(*keys, ascending=not side)
     from pyspark import TaskContext
@@ -217,7 +216,7 @@ def _pass(parts: DataFrame, side: int) -> DataFrame:
             out = []
             for page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if page[5] and (other := _neighbour(state, page)):
-                    out.append((page[0], [2 * k + side for k in sorted(shared(page[3], other[3]) & set(page[5]))]))
+                    out.append((page[0], sorted(shared(page[3], other[3]) & set(page[5]))))
                 state = _next(state, page)
             yield _batch(out, ["page_id", "gone"], [KINDS[0], KINDS[5]])
 
@@ -225,7 +224,7 @@ def _pass(parts: DataFrame, side: int) -> DataFrame:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, gone): the lines that a page shares with the page before or after it in its host's order of paths, as of ``_pass``."""
+    """(page_id, gone): positions of the lines that a page shares with the page before or after it in its host's order of paths."""
     parts = cut(_lean(pages).repartitionByRange(F.col("host"), F.col("path"), F.col("page_id")))
     return _pass(parts, 0).union(_pass(parts, 1))
 
@@ -246,9 +245,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         for batch in batches:
             texts = []
             for html, away in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                found, away = lines(html or ""), {g // 2 for g in away or ()}
-                marked = any(article and not bad for _, article, bad in found)
-                texts.append("\n\n".join(t for k, (t, article, bad) in enumerate(found) if not bad and (article if marked else k not in away)))
+                found, away = lines(html or ""), set(away or ())
+                texts.append("\n\n".join(t for k, (t, _, bad) in enumerate(found) if not bad and k not in away))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return lean.join(gone, "page_id", "left").select("page_id", "url", "html", "gone").mapInArrow(run, "page_id long, url string, text string, n_chars long")

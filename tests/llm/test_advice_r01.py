@@ -79,3 +79,9 @@ def test_html_copies_are_no_neighbours(spark):
     assert all(got[i] == "Story one, as told in plain words, number one" for i in range(40))
     assert got[100].startswith("Story two") and got[100].endswith("two") and got[101].endswith("number three")
     assert got[102] == got[103] == "Menu of the site\n\nStory four, as told in plain words, number four\n\nFoot"
+
+
+def test_html_lines_outside_articles_are_at_stake(spark):
+    page = "<div>Menu of the site</div><div>Story {0} told outside</div><article><p>Teaser {0}</p><p>Same quote</p></article><div>Foot</div>".format
+    got = extracted(spark, [(i, f"http://t.example/{i}", page(i)) for i in range(3)])
+    assert got == {i: f"Story {i} told outside\n\nTeaser {i}\n\nSame quote" for i in range(3)}
