@@ -39,6 +39,26 @@ BOILER_WORDS = frozenset("ad ads advert adverts advertisement banner banners coo
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 
 
+#: Elements that class words never drop, and the containers of which a whole name must be made of such words, for they can hold the page.
+KEPT = frozenset(("html", "body", "main", "article"))
+OUTER = frozenset(("div", "section", "table"))
+#: Words beside boilerplate words in the names of containers that hold nothing else.
+BESIDE = frozenset("list box area wrap wrapper inner block slot unit links items top bottom left right".split())
+
+
+def _named(tag: str, names: str) -> bool:
+    """Whether a class or id says that an element is boilerplate."""
+    if tag in KEPT:
+        return False
+    if tag not in OUTER:
+        return not BOILER_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", names))
+    for name in names.split():
+        parts = [x for x in re.split(r"[^a-z0-9]+", name) if not x.isdigit() and x]
+        if not BOILER_WORDS.isdisjoint(parts) and BOILER_WORDS.union(BESIDE).issuperset(parts):
+            return True
+    return False
+
+
 def _boiler(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in DROPPED or tag == "header" and not inside_article:
         return True
@@ -46,7 +66,7 @@ def _boiler(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
         value, name = "".join(values).lower(), name.lower()
-        if name in ("class", "id") and not BOILER_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        if name in ("class", "id") and _named(tag, value):
             return True
         if name == "role" and value in BOILER_ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True

@@ -85,3 +85,12 @@ def test_html_lines_outside_articles_are_at_stake(spark):
     page = "<div>Menu of the site</div><div>Story {0} told outside</div><article><p>Teaser {0}</p><p>Same quote</p></article><div>Foot</div>".format
     got = extracted(spark, [(i, f"http://t.example/{i}", page(i)) for i in range(3)])
     assert got == {i: f"Story {i} told outside\n\nTeaser {i}\n\nSame quote" for i in range(3)}
+
+
+def test_html_class_words_on_outer_containers():
+    def text(html: str) -> list[str]:
+        return [t for t, _, bad in html_extraction.lines(html) if not bad]
+
+    assert text('<html class="has-alert"><body class="post-template has-sidebar"><div class="layout-sidebar-right"><article class="post comment-open"><p>Story</p></article></div></body></html>') == ["Story"]
+    assert text('<body class="sidebar"><main id="search"><p>Story</p></main></body>') == ["Story"]
+    assert text('<div class="ad">x</div><div id="cookie-banner">x</div><div class="box sidebar-inner">x</div><section class="comments">x</section><div class="ad-1">x</div><ul class="related-posts"><li>x</ul><p>Story</p>') == ["Story"]
