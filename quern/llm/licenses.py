@@ -1,8 +1,9 @@
 """License scans by conditional compression.
 
-Candidate blocks are the sentences of a text that hold a license cue, and paragraphs with several of them. Each is compressed alone and
-with every template as a zstandard raw dictionary; the templates are ranked by how much they shrink it. The best are confirmed by their
-exact wording differences: the words of template and block are aligned, and what differs is counted.
+Candidate blocks are the sentences of a text that hold a license cue, within a line and over the lines of a paragraph, and the paragraphs
+that hold one. Each is compressed alone and with every template as a zstandard raw dictionary. The templates that shrink it enough are
+confirmed by their exact wording differences: the words of template and block are aligned, and what differs is counted. Of blocks that
+overlap, the one that differs least counts.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from quern.llm.common import once, table
 
 MIN_REDUCTION = 0.25  # of the bytes of the block compressed alone
 MAX_DIFFERENT = 0.20  # of the template's words, missing or replaced
-WINNERS = 3  # templates confirmed a block, in order of reduction; the first confirmed one counts
 
-CUE = re.compile(r"licen[cs]|copyright|spdx|creative commons|cc by|public domain|warranty|redistribut|permission is hereby|all rights reserved", re.I)
+CUE = re.compile(r"licen[cs]|copyright|spdx|creative[\W_]+commons|cc[\W_]+by|public[\W_]+domain|warranty|redistribut|permission[\W_]+is[\W_]+hereby|all[\W_]+rights[\W_]+reserved", re.I)
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s|\Z|[^\w\s])|(?=\n)|\Z)[^\w\s]*", re.S)
+WRAPPED = re.compile(r".*?(?:[.!?](?=\s|\Z|[^\w\s])|\Z)[^\w\s]*", re.S)  # a sentence over lines
 WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
 
 #: Wordings of public licenses.
@@ -58,7 +59,7 @@ TEMPLATES = {
 
 
 def words(text: str) -> list[str]:
-    return [w.lower() for w in WORD.findall(text)]
+    return [w.lower() for w in WORD.findall(re.sub(r"-\n[^\w\n]*", "-", text))]
 
 
 class Scanner:
@@ -79,12 +80,11 @@ class Scanner:
         if not raw:
             return None
         alone = len(self.plain.compress(raw))
-        ranked = sorted(((1 - len(c.compress(raw)) / alone, i) for i, c in enumerate(self.primed)), key=lambda x: (-x[0], x[1]))
         found = []
-        for reduction, i in ranked[:WINNERS]:
+        for (name, wanted), compressor in zip(self.wordings, self.primed, strict=True):
+            reduction = 1 - len(compressor.compress(raw)) / alone
             if reduction < MIN_REDUCTION:
-                break
-            name, wanted = self.wordings[i]
+                continue
             same = sum(m.size for m in difflib.SequenceMatcher(None, wanted, got, autojunk=False).get_matching_blocks())
             missing = len(wanted) - same
             if missing <= MAX_DIFFERENT * len(wanted):
@@ -104,21 +104,21 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         end = at + len(paragraph)
         if CUE.search(paragraph):
             held = [(at + m.start(), at + m.end()) for m in SENTENCE.finditer(paragraph) if m.end() > m.start() and CUE.search(m[0])]
-            yield from held
-            if len(held) > 1:
-                yield held[0][0], held[-1][1]
+            over = [(at + m.start(), at + m.end()) for m in WRAPPED.finditer(paragraph) if m.end() > m.start() and CUE.search(m[0])] if "\n" in paragraph else []
+            more = [(held[0][0], held[-1][1])] if len(held) > 1 else []
+            lead = len(paragraph) - len(paragraph.lstrip())
+            yield from dict.fromkeys([*held, *over, *more, (at + lead, at + len(paragraph.rstrip()))])
         at = end
 
 
 def scan(text: str | None, scanner: Scanner) -> list[tuple[str, int, int, float, int, int]]:
-    """(license, start, end, reduction, missing, added) of each confirmed block; a paragraph only where no sentence of it is confirmed."""
+    """(license, start, end, reduction, missing, added) of each confirmed block; of those that overlap, the least different, then the shortest."""
+    found = [(best[0], start, end, *best[1:]) for start, end in blocks(text or "") if (best := scanner.best(text[start:end]))]
     out: list[tuple[str, int, int, float, int, int]] = []
-    for start, end in blocks(text or ""):
-        if any(start <= s and e <= end for _, s, e, *_ in out):
-            continue
-        if best := scanner.best(text[start:end]):
-            out.append((best[0], start, end, *best[1:]))
-    return out
+    for x in sorted(found, key=lambda x: (x[4] + x[5], x[2] - x[1], x[1])):
+        if not any(x[1] < end and start < x[2] for _, start, end, *_ in out):
+            out.append(x)
+    return sorted(out, key=lambda x: x[1])
 
 
 def license_scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
-from quern.llm import decontamination, html_extraction, line_dedup
+from quern.llm import decontamination, html_extraction, licenses, line_dedup
 
 
 def every_offset(line: str) -> set[str]:
@@ -94,3 +95,16 @@ def test_html_class_words_on_outer_containers():
     assert text('<html class="has-alert"><body class="post-template has-sidebar"><div class="layout-sidebar-right"><article class="post comment-open"><p>Story</p></article></div></body></html>') == ["Story"]
     assert text('<body class="sidebar"><main id="search"><p>Story</p></main></body>') == ["Story"]
     assert text('<div class="ad">x</div><div id="cookie-banner">x</div><div class="box sidebar-inner">x</div><section class="comments">x</section><div class="ad-1">x</div><ul class="related-posts"><li>x</ul><p>Story</p>') == ["Story"]
+
+
+def test_licenses_in_wrapped_lines():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    found = lambda text: [x[0] for x in licenses.scan(text, scanner)]
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            for width in (24, 40, 72):
+                for lead in ("", " * ", "# "):
+                    wrapped = "\n".join(lead + x for x in textwrap.wrap(text, width))
+                    assert found(f"{lead}Some code\n\n{wrapped}\n\n{lead}1. More of it") == [name], wrapped
+    assert found("This work is licensed under the GNU General Public License, version\n3.") == ["GPL-3.0"]
+    assert found("A title\nReleased under the MIT License.\nLicensed under CC BY 4.0. Prose.") == ["MIT", "CC-BY-4.0"]
