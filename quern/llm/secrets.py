@@ -2,8 +2,8 @@
 
 Labelled credentials of each format form a prefix tree over character classes. States whose outgoing and final frequencies are
 statistically compatible (Hoeffding bound, tested down both subtrees) are merged, which turns the tree into a probabilistic
-automaton. Every candidate run of credential characters is scored by each automaton: the log likelihood of its format, less that of
-ordinary text. Spans above the margin are added to those of the base patterns.
+automaton. Every candidate run of credential characters, and every part of it between separators, is scored by each automaton: the log
+likelihood of its format, less that of ordinary text. The best spans above the margin are added to those of the base patterns.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SEPARATOR = re.compile(r"[=/_-]")  # characters of credentials that can also stand beside one
 BASE_KINDS = "assign", "access", "hex"
 
 LABELLED_PER_FORMAT = 200  # the documented bound on labelled credentials of each format
@@ -159,6 +160,23 @@ class Automaton:
         return total + math.log2(self.count[at] / self.final[at]) if self.final[at] else math.inf
 
 
+    def ends(self, text: str, start: int, stops: set[int]) -> list[tuple[int, float]]:
+        """(end, bits) of the texts from ``start`` to one of ``stops`` for which the automaton has a path."""
+        at, total, out = 0, 0.0, []
+        each = math.log2(len(self.body))
+        for i in range(start, len(text)):
+            c = text[i]
+            s = "" if c in self.body and i - start not in self.literal else c
+            seen = self.seen[at].get(s)
+            if not seen:
+                break
+            total += math.log2(self.count[at] / seen) + (0 if s else each)
+            at = self.next[at][s]
+            if i + 1 in stops and self.final[at]:
+                out.append((i + 1, total + math.log2(self.count[at] / self.final[at])))
+        return out
+
+
 def infer(labelled: dict[str, list[str]]) -> dict[str, Automaton]:
     return {name: Automaton(examples) for name, examples in sorted(labelled.items())}
 
@@ -169,6 +187,21 @@ def likelihood_margin(automata: dict[str, Automaton], candidate: str) -> tuple[f
     return max(((ordinary - a.bits(candidate), name) for name, a in automata.items()), default=(-math.inf, ""))
 
 
+def best_parts(automata: dict[str, Automaton], run: str, margin: float, taken: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """(start, end, format) of the parts of ``run``, from and to its ends or separators, above the margin: the likeliest first, none overlapping another or ``taken``."""
+    ordinary = [0.0]
+    for c in run:
+        ordinary.append(ordinary[-1] + ORDINARY_BITS[c])
+    spots = [m.start() for m in SEPARATOR.finditer(run)]
+    edges = {0, len(run), *spots, *(i + 1 for i in spots)}
+    scored = [(ordinary[end] - ordinary[start] - bits, start, end, name) for start in edges for name, a in automata.items() for end, bits in a.ends(run, start, edges)]
+    out: list[tuple[int, int, str]] = []
+    for _, start, end, name in sorted((x for x in scored if x[0] >= margin), key=lambda x: (-x[0], x[1], -x[2], x[3])):
+        if not any(s < end and start < e for s, e in [*taken, *((s, e) for s, e, _ in out)]):
+            out.append((start, end, name))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, rank of kind, end) of the base patterns, by start, then kind."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
@@ -186,11 +219,8 @@ def scan(text: str | None, automata: dict[str, Automaton], margin: float = MARGI
     for m in CANDIDATE.finditer(text):
         if m[0].isalpha() and m[0].islower():  # a plain word: no format but hex, which the base has, is likelier than text
             continue
-        if any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
-        score, name = likelihood_margin(automata, m[0])
-        if score >= margin:
-            added.append((m.start(), 3, m.end(), f"format_{name}"))
+        taken = [(s - m.start(), e - m.start()) for s, _, e in base if s < m.end() and m.start() < e]
+        added += [(m.start() + s, 3, m.start() + e, f"format_{name}") for s, e, name in best_parts(automata, m[0], margin, taken)]
     spans = ",".join(f"{x[3] if x[1] == 3 else BASE_KINDS[x[1]]}:{x[0]}:{x[2]}" for x in sorted([*base, *added]))
     count = [sum(k == i for _, k, _ in base) for i in range(3)]
     return *count, len(added), hashlib.sha256(joined.encode()).hexdigest(), spans

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import textwrap
 
-from quern.llm import decontamination, html_extraction, licenses, line_dedup
+from quern.llm import decontamination, html_extraction, licenses, line_dedup, secrets
 
 
 def every_offset(line: str) -> set[str]:
@@ -108,3 +108,20 @@ def test_licenses_in_wrapped_lines():
                     assert found(f"{lead}Some code\n\n{wrapped}\n\n{lead}1. More of it") == [name], wrapped
     assert found("This work is licensed under the GNU General Public License, version\n3.") == ["GPL-3.0"]
     assert found("A title\nReleased under the MIT License.\nLicensed under CC BY 4.0. Prose.") == ["MIT", "CC-BY-4.0"]
+
+
+def test_secrets_beside_separators():
+    automata = secrets.infer(secrets.labelled_credentials())
+    made = {name: values[0] for name, values in secrets.labelled_credentials(1, seed=31).items()}
+    made["access_id"] = "ASIA" + made["access_id"][4:]
+    for name, value in made.items():
+        for left, right in (("GITHUB_PAT=", ""), ("/users/", "/x"), ("stripe=", "-old"), ("key_", "_v2"), ("a/b-c_d=", "")):
+            spans = secrets.scan(f"see {left}{value}{right} there", automata)[5]
+            at = 4 + len(left)
+            if name == "digest":  # the base patterns have it
+                assert f"hex:{at}:{at + len(value)}" in spans
+            else:
+                assert f"format_{name}:{at}:{at + len(value)}" in spans, (left, value, right, spans)
+    two = f"{made['prefixed']}/{made['uuid']}"
+    assert secrets.scan(two, automata)[3] == 2
+    assert not secrets.scan("https/www-example-org/some-long-path/with_many-parts=and_values/ReadMe-2024_final", automata)[5]
