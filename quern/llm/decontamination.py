@@ -60,18 +60,23 @@ class Vocabulary(dict):
             raise OverflowError
         at = self[raw] = len(self.words)
         text = raw.decode("utf-8", "replace")
-        core = EDGE.sub("", text)
+        plainly = text.isalnum()  # no punctuation to look at
+        core = text if plainly else EDGE.sub("", text)
         low = core.lower()
-        plain = "<num>" if NUMBER.match(core) else "<unit>" if low in UNITS else low
+        plain = "<unit>" if low in UNITS else low
+        if not core.isalpha() and NUMBER.match(core):
+            plain = "<num>"
         inside = plain
         if plain == low and len(core) > 1 and core[0].isupper() and core[1:].islower():
             inside = "<name>"
         self.words.append((low, inside, plain))
-        self.inside[at], self.first[at] = xxhash.xxh3_64_intdigest(inside), xxhash.xxh3_64_intdigest(plain)
-        self.exact[at] = xxhash.xxh3_64_intdigest(low)
+        first = self.first[at] = xxhash.xxh3_64_intdigest(plain)
+        self.inside[at] = first if inside is plain else xxhash.xxh3_64_intdigest(inside)
+        self.exact[at] = first if plain is low else xxhash.xxh3_64_intdigest(low)
         self.literal[:, at] = inside[:1] != "<", plain[:1] != "<"
-        self.ends[at] = raw == BREAK or bool(SENTENCE_END.search(text))
-        self.void[at] = raw == BREAK or not core
+        if not plainly:
+            self.ends[at] = raw == BREAK or bool(SENTENCE_END.search(text))
+            self.void[at] = raw == BREAK or not core
         return at
 
 
