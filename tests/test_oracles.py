@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -19,7 +20,7 @@ def plain(v):
         return "NULL"
     if isinstance(v, bool):
         return str(v)
-    return f"{float(v):.6f}" if isinstance(v, (int, float)) else str(v)
+    return f"{float(v):.6f}" if isinstance(v, (int, float, Decimal)) else str(v)
 
 
 @pytest.fixture(scope="module")
