@@ -45,13 +45,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-BROADCAST_ROWS = 1_000_000  # short rows (ids, positions) that are sent whole to every task; above, the same join is made by shuffle
+BROADCAST_BYTES = 48 << 20  # of a table that is sent whole to every task; above, the same join is made by shuffle
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table, materialised, with a broadcast hint while its checked number of rows is small."""
+def bounded(df: DataFrame) -> DataFrame:
+    """The table, materialised, with a broadcast hint while its measured bytes are few: 24 a row, and those of its arrays and texts."""
     df = cut(df)
-    return F.broadcast(df) if df.count() <= rows else df
+    width = F.lit(24 + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind == "array":
+            width = width + F.greatest(F.size(f.name), F.lit(0)) * 32
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 _made: list = [None, None]

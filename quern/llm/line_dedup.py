@@ -1,146 +1,188 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
-A line's shingles are its runs of five characters at every offset; a shorter line is its own shingle. Hash order
-stands in for random permutations: the thirteen least hashes are its MinHash signature, and each two neighbours among them a band key.
-Two lines of similarity 0.8 miss every key with a probability below 0.1 %. Lines are tried against the commonest line of each key first, then
-against one of the key's largest component; lines of a key that still lie in different components, if their signatures overlap enough, are
-compared with each other inside a join that only confirmed links leave. Pairs are confirmed by exact Jaccard similarity, components found
-by star contraction, and the first line in (doc_id, position) order of each component is kept.
-
-Key rows hold two longs; shingle sets are made only for lines in a candidate pair. Equal lines are one line throughout, counted by a
-map-side partial aggregate, so a line that stands in a third of all documents makes no large group.
+Two lines are alike if the sets of their runs of five characters, at every offset, have a Jaccard similarity of 0.8; a shorter line is its
+own only run. Signatures are MinHash samples: of the hashes of a line's runs of sixteen characters, at every offset, those below a bound
+that leaves SAMPLE of them on average, and each is a band key. Long runs tell lines apart that share common words, and lines at
+similarity 0.8 still share about two thirds of theirs, so they miss each other with a probability below 0.1 %. Lines below SHORT characters,
+or that repeat themselves, also have keys of three neighbours among the least hashes of their runs of five.
+
+Candidates share two keys, or one of the latter kind. Each line is tried against one line of each key first; lines of a key that then lie
+in different components are compared inside a join that only candidates leave. Candidates are id pairs; the lines themselves are fetched
+once the pairs are distinct, and decided by exact Jaccard similarity. Components come from star contraction, and the first line of each
+component in (id, hash of the text, position) order is kept.
+
+Texts are split in one pass that leaves a lean table: a row for each key, with the place of its line. Key rows hold two longs. Copies of
+a frequent line are dropped before the keys are dealt, by a broadcast of at most FREQUENT rows whatever the input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from quern.llm.common import bounded, cut, table
+from quern.llm.common import bounded, cut, stored, table
 from quern.llm.components import components
 
-SIGNATURE = 13
-OVERLAP = 6  # common bits of two signatures' 64-bit masks; at similarity 0.8 about ten of the thirteen hashes are shared
-SHINGLE = r"(?s)(?=(.{5}|\A.{1,4}\z))."
-
-
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, pos, line (lower case, trimmed), id of each line with text."""
-    split = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("pos", "line"))
-    named = split.select("doc_id", "pos", F.lower(F.trim("line", F.lit(" \t\r\x0b\x0c"))).alias("line")).filter("line <> ''")
-    return named.withColumn("id", F.xxhash64("line"))
-
-
-def _set(line: str) -> Column:
-    """Sorted distinct hashes of the line's shingles."""
-    return F.sort_array(F.array_distinct(F.transform(F.regexp_extract_all(F.col(line), F.lit(SHINGLE), F.lit(1)), lambda x: F.xxhash64(x))))
-
-
-def _keys(low: str) -> Column:
-    """Band keys of a signature: each two neighbours, or the only hash."""
-    n = F.size(low)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.xxhash64(F.element_at(low, i), F.element_at(low, F.least(i + 1, n))))
-    return F.explode(pairs)
-
-
-def _sets(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(id, s) of the lines in a candidate pair."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    return cut(lines.select("id", "line").join(bounded(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")).select("id", _set("line").alias("s")))
-
-
-def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with ``ok``: whether their shingle sets have a Jaccard similarity of ``percent`` / 100 or more."""
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return both.select("a", "b", _similar(F.col("x"), F.col("y"), percent).alias("ok"))
-
-
-def _leader(*order) -> Column:
-    """The first id of each key's lines; a running value, so no group is held in memory."""
-    return F.first("id").over(Window.partitionBy("key").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-
-def _new_leaders(keyed: DataFrame) -> DataFrame:
-    """Per key a line of its largest component, paired with the lines of other components."""
-    groups = keyed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("m"))
-    top = groups.groupBy("key").agg(F.max(F.struct("n", F.col("comp").alias("top"), F.col("m.id").alias("leader"))).alias("t"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", "t.top", "t.leader")
-    return keyed.join(top, "key").filter(F.col("comp") != F.col("top")).select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-
-
-def _similar(x: Column, y: Column, percent: int) -> Column:
-    same = F.size(F.array_intersect(x, y))
-    return same * 100 >= (F.size(x) + F.size(y) - same) * percent
-
-
-def line_components(lines: DataFrame, spots: DataFrame, percent: int = 80) -> DataFrame:
-    """(id, component) of the lines that are like another. ``spots`` has id, the first place ``at`` and the number n of each line."""
-    often = bounded(spots.filter("n > 1").select("id", "n", "at"))
-    unique = lines.join(often, "id", "left").filter("at IS NULL OR (doc_id = at.doc_id AND pos = at.pos)")
-    dealt = unique.select("id", "n", F.slice(_set("line"), 1, SIGNATURE).alias("low")).select("id", F.coalesce("n", F.lit(1)).alias("n"), _keys("low").alias("key"))
-    tried = cut(dealt.select("id", _leader(F.col("n").desc(), "id").alias("b")).filter("id <> b").select(F.col("id").alias("a"), "b").distinct())
-    sets = _sets(tried, lines)
-    checked = cut(_checked(tried, sets, percent))
-    linked = checked.filter("ok").select("a", "b")
-    first = cut(components(linked, "a", "b"))
-    failed = checked.filter("NOT ok")
-    if not failed.take(1):
-        return first
-
-    # every line in the component of a line that failed its leader, or of that leader, is tried again within its keys
+RUN, LONG = 5, 16  # characters of a run for similarity, and for keys
+SHORT = 40  # characters below which a line has keys of short runs; from LONG * 2 it has keys of long ones as well
+SAMPLE, REPEATING = 16, 128  # keys of a line, on average; of one that repeats itself
+NEIGHBOURS = 18  # least hashes of short runs, of which each three neighbours are a key
+FREQUENT = 200_000  # rows of the table of frequent lines
+LENGTHS = 40  # percent: least ratio of the lengths of two lines that tell no repetition; their sets differ less
+BLANK = " \t\r\x0b\x0c"
+HALF = 1 << 63
+
+
+def _trimmed(line: str) -> Column:
+    """Without white space at the ends; only ends that need it take the slow way."""
+    x = F.trim(line)
+    odd = [f(x, F.lit(c)) for c in BLANK[1:] for f in (F.startswith, F.endswith)]
+    some = odd[0]
+    for o in odd[1:]:
+        some = some | o
+    return F.when(some, F.trim(line, F.lit(BLANK))).otherwise(x)
+
+
+def _short_keys(line: str) -> Column:
+    """Keys of three neighbours among the least hashes of the first runs of five: of all runs, where the line is short or its period is."""
+    found = F.expr(f"transform(sequence(1, greatest(least(length({line}), {SHORT}) - {RUN - 1}, 1)), i -> xxhash64(substring({line}, i, {RUN})))")
+    low = F.slice(F.array_sort(F.array_distinct(found)), 1, NEIGHBOURS)
+    three = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.size(s) - 2, F.lit(1))), lambda i: F.xxhash64(*[F.element_at(s, F.least(i + k, F.size(s))) for k in range(3)]).bitwiseOR(F.lit(1)))
+    return F.transform(F.array(low), three)[0]
+
+
+def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, h, pos, id, m, head, key): a row for each key of each line with text; ``head`` marks one row of each line. m is negative if it repeats itself."""
+    text = F.col(text_col).cast("string")
+    split = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).try_cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+    named = split.filter("doc_id IS NOT NULL").select("doc_id", "h", "pos", F.lower(_trimmed("line")).alias("line")).filter("line <> ''")
+    sized = named.select("doc_id", "h", "pos", F.xxhash64("line").alias("id"), F.length("line").alias("n"), "line", F.encode("line", "UTF-16BE").alias("b"))
+    ends = f"locate(substring(line, 1, {LONG}), line, 2) > 0 OR locate(substring(line, n div 2, {LONG}), line) < n div 2 OR locate(substring(line, n - {LONG - 1}, {LONG}), line) < n - {LONG - 1}"
+    repeats = F.expr(f"n > {LONG} AND ({ends})")
+    known = sized.select("doc_id", "h", "pos", "id", "n", "line", "b", repeats.alias("rep"))
+    runs = F.octet_length("b") / 2 - (LONG - 1)
+    wanted = F.when(F.col("rep"), F.lit(float(REPEATING))).otherwise(F.lit(float(SAMPLE))) * F.sqrt(F.greatest(runs, F.lit(1000.0)) / 1000)
+    bound = F.when(runs <= 2 * wanted, F.lit(HALF - 1)).otherwise(F.lit(-HALF) + (wanted / runs * float(2 * HALF)).cast("long"))
+    some = F.when((F.col("n") < SHORT) | F.col("rep"), _short_keys("line"))
+    ready = known.select("doc_id", "h", "pos", "id", F.when(F.col("rep"), -F.col("n")).otherwise(F.col("n")).alias("m"), "b", bound.alias("bound"), some.alias("some"))
+    long = F.when(F.abs("m") >= 2 * LONG, F.sequence(F.lit(1), (runs * 2 - 1).cast("int"), F.lit(2))).otherwise(F.array().cast("array<int>"))
+    at = F.when(F.col("some").isNull(), long).otherwise(F.concat(F.sequence(-F.size("some"), F.lit(-1)), long))
+    each = ready.select("doc_id", "h", "pos", "id", "m", "b", "bound", "some", F.posexplode(at).alias("p", "i"))
+    key = F.when(F.col("i") < 0, F.element_at("some", F.col("i"))).otherwise(F.shiftleft(F.shiftright(F.xxhash64(F.substring("b", F.col("i"), F.lit(2 * LONG))), 1), 1))
+    hashed = each.select("doc_id", "h", "pos", "id", "m", (F.col("p") == 0).alias("head"), "i", "bound", key.alias("key"))
+    kept = (F.col("i") < 0) | (F.col("key") <= F.col("bound"))
+    return hashed.filter(kept | F.col("head")).select("doc_id", "h", "pos", "id", "m", "head", F.when(kept, F.col("key")).alias("key"))
+
+
+def _related(x: str, y: str) -> Column:
+    """Whether two lines with sorted keys ``x`` and ``y`` share two keys, or one of neighbours."""
+    both = F.array_intersect(x, y)
+    return (F.size(both) >= 2) | F.exists(both, lambda k: k.bitwiseAND(1) == 1)
+
+
+def _set(line: Column) -> Column:
+    """Distinct hashes of the runs of five characters."""
+    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), lambda b: F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length(b) / 4 - RUN, F.lit(0)).cast("int")), lambda i: F.xxhash64(F.substring(b, i * 4 + 1, F.lit(4 * RUN)))))[0])
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, places: DataFrame) -> DataFrame:
+    """(id, line) of the lines that stand first at ``places`` (id, at)."""
+    wanted = places.groupBy("at.doc_id", "at.h").agg(F.collect_list(F.struct("id", "at.pos")).alias("those"))
+    text = F.col(text_col).cast("string")
+    lean = docs.select(F.col(id_col).try_cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    met = lean.join(bounded(wanted), ["doc_id", "h"]).select(F.split("text", "\n").alias("lines"), F.explode("those").alias("x"))
+    return met.select("x.id", F.lower(_trimmed_col(F.element_at("lines", F.col("x.pos") + 1))).alias("line")).dropDuplicates(["id"])
+
+
+def _trimmed_col(line: Column) -> Column:
+    return F.trim(line, F.lit(BLANK))
+
+
+class _Checker:
+    """Decides candidate pairs by the exact similarity of their lines; lines are fetched once."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, spots: DataFrame, percent: int):
+        self.source, self.spots, self.percent, self.held = (docs, id_col, text_col), spots, percent, None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are alike."""
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        new = ids if self.held is None else ids.join(self.held, "id", "left_anti")
+        got = stored(_texts(*self.source, self.spots.join(new, "id", "left_semi").select("id", "at")), "lines")
+        self.held = got if self.held is None else self.held.union(got)
+        both = pairs.join(self.held.toDF("a", "x"), "a").join(self.held.toDF("b", "y"), "b").select("a", "b", _set(F.col("x")).alias("x"), _set(F.col("y")).alias("y"))
+        fit = F.least(F.size("x"), F.size("y")) * 100 >= F.greatest(F.size("x"), F.size("y")) * self.percent
+        same = F.size(F.array_intersect("x", "y"))
+        return cut(both.filter(fit).filter(same * 100 >= (F.size("x") + F.size("y") - same) * self.percent).select("a", "b"))
+
+
+def line_components(dealt: DataFrame, spots: DataFrame, checker: _Checker) -> DataFrame:
+    """(id, component) of the lines that are like another. ``spots`` has id, the first place ``at``, the number n of each line."""
+    total = spots.agg(F.sum("n")).first()[0] or 0
+    often = F.broadcast(spots.filter(F.col("n") >= max(2, -(-total // FREQUENT))).select("id", "at"))  # total / FREQUENT copies each: at most FREQUENT rows
+    once = dealt.filter("key IS NOT NULL").join(often, "id", "left").filter(F.col("at").isNull() | (F.struct("doc_id", "h", "pos") == F.col("at"))).select("id", "key")
+    several = once.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key", "lo")
+    met = stored(once.join(several.hint("shuffle_hash"), "key").select("id", "key", "lo").distinct(), "met")
+
+    # one leader a key
+    keys = stored(met.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys")), "keys")
+    tried = met.filter("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct()
+    tried = tried.join(keys.toDF("a", "x"), "a").join(keys.toDF("b", "y"), "b").filter(_related("x", "y")).select("a", "b")
+    tried = cut(tried)
+    links = checker.links(tried)
+    joined = cut(components(links, "a", "b"))
+
+    # lines of a key in different components, in a join that only candidates leave
     comp = F.coalesce("component", "id")
-    ends = failed.select(F.col("a").alias("id")).union(failed.select(F.col("b").alias("id"))).distinct().join(first, "id", "left").select("id", comp.alias("comp"))
-    member = ends.union(first.select("id", F.col("component").alias("comp")).join(ends.select("comp").distinct(), "comp", "left_semi").select("id", "comp")).distinct()
-    again = cut(sets.join(member.select("id").distinct(), "id", "left_semi"))
-    low = F.slice("s", 1, SIGNATURE)
-    mask = F.aggregate(low, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))))
-    lean = cut(again.select("id", F.size("s").alias("n"), mask.alias("mask"), low.alias("low")))
-
-    def keyed(joined: DataFrame) -> DataFrame:
-        """Key rows of a few longs, of the keys that several components share."""
-        dealt = lean.join(joined, "id", "left").select("id", comp.alias("comp"), "n", "mask", _keys("low").alias("key"))
-        apart = dealt.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-        return dealt.join(apart, "key", "left_semi")
-
-    fresh = _new_leaders(keyed(first)).join(failed.select("a", "b"), ["a", "b"], "left_anti")
-    linked = cut(linked.union(_checked(fresh, again, percent).filter("ok").select("a", "b")))
-    joined = cut(components(linked, "a", "b"))
-
-    # key rows with a near partner in another component, then pair by pair on full sets inside a join that only confirmed links leave
-    rest = cut(keyed(joined))
-    x, y = rest.alias("x"), rest.alias("y")
-    sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
-    near = sizes & (F.bit_count(F.col("x.mask").bitwiseAND(F.col("y.mask"))) >= F.least(F.lit(OVERLAP), F.expr("least(x.n, y.n) div 2")))
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & near
-    live = cut(x.join(y, apart, "left_semi").join(again, "id"))
+    placed = met.select("id", "key").join(joined, "id", "left").select("id", "key", comp.alias("comp"))
+    apart = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    rest = placed.join(apart.hint("shuffle_hash"), "key")
+    bit = lambda shift: F.aggregate("keys", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseOR(F.when(F.shiftright(k, 8).bitwiseAND(64) == shift, F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(k, 8).bitwiseAND(63).cast("int"))).otherwise(F.lit(0).cast("long"))))
+    sketch = keys.join(spots.select("id", "m"), "id").select("id", "m", bit(0).alias("m0"), bit(64).alias("m1"), "keys")
+    live = rest.join(sketch, "id")
     x, y = live.alias("x"), live.alias("y")
-    met = (F.col("x.id") > F.col("y.id")) & apart & _similar(F.col("x.s"), F.col("y.s"), percent)
-    last = cut(x.join(y, met).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    return cut(components(linked.union(last), "a", "b")) if last.take(1) else joined
+    common = F.bit_count(F.col("x.m0").bitwiseAND(F.col("y.m0"))) + F.bit_count(F.col("x.m1").bitwiseAND(F.col("y.m1")))
+    sizes = (F.least("x.m", "y.m") < 0) | (F.least("x.m", "y.m") * 100 >= F.greatest("x.m", "y.m") * LENGTHS)
+    near = (common >= 2) | (F.col("x.key").bitwiseAND(1) == 1)
+    met2 = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & sizes & near & _related("x.keys", "y.keys")
+    more = x.join(y, met2).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = cut(more.join(done, ["a", "b"], "left_anti"))
+    if not more.take(1):
+        return joined
+    last = checker.links(more)
+    return cut(components(links.union(last), "a", "b")) if last.take(1) else joined
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """The table with later copies of lines removed from ``text_col``, and two more columns: n_lines (lines with text, before), n_dropped.
 
     Lines are compared in lower case without white space at their ends; a component of lines, linked at a Jaccard similarity of
-    ``percent`` / 100, keeps the one first in (id, position) order. Blank lines stay. A null text stays null with 0 lines; documents with a
-    null id are left as they are with n_dropped 0. Rows that repeat an id are one document. Existing columns n_lines and n_dropped are
-    replaced. An empty table gives an empty result.
+    ``percent`` / 100 (80 at least), keeps the one first in (id, hash of the text, position) order. Blank lines stay. A null text stays null with 0
+    lines; rows whose id is null or no integer are left as they are with n_dropped 0. Rows that repeat an id and a text are one document;
+    rows of one id with different texts are different documents. Existing columns n_lines and n_dropped are replaced, others stay whatever
+    their names. An empty table gives an empty result.
     """
-    lines = _lines(docs, id_col, text_col)
-    spots = cut(lines.groupBy("id").agg(F.min(F.struct("doc_id", "pos")).alias("at"), F.count(F.lit(1)).alias("n")))
-    placed = spots.join(line_components(lines, spots, percent), "id", "left").withColumn("comp", F.coalesce("component", "id"))
+    dealt = stored(_dealt(docs, id_col, text_col), "dealt")
+    heads = dealt.filter("head").select("id", "m", F.struct("doc_id", "h", "pos").alias("place"))
+    spots = stored(heads.groupBy("id").agg(F.min("place").alias("at"), F.count(F.lit(1)).alias("n"), F.min("m").alias("m")), "spots")
+    comps = line_components(dealt, spots, _Checker(docs, id_col, text_col, spots, percent))
+    placed = spots.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id"))
     keeper = placed.filter("n > 1 OR component IS NOT NULL")
     first = keeper.groupBy("comp").agg(F.min("at").alias("keep"))
     repeated = keeper.select("id", "comp").join(first, "comp").select("id", "keep")
-    gone = lines.select("id", "doc_id", "pos").join(bounded(repeated), "id").filter(F.struct("doc_id", "pos") != F.col("keep"))
-    gone = gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("__gone")).withColumnRenamed("doc_id", "__doc")
-    rows = docs.drop("n_lines", "n_dropped").join(bounded(gone), F.col(id_col).cast("long") == F.col("__doc"), "left")
-    split = F.split(F.col(text_col).cast("string"), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(split, i + 1)), "\n"))
-    n_lines = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\n]*[^ \t\r\x0b\x0c\n][^\n]*")), F.lit(0))
-    return rows.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"), text_col: text}).drop("__gone", "__doc")
+    gone = heads.join(repeated, "id").filter(F.col("place") != F.col("keep")).select("place.*")
+    gone = gone.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("pos")).alias("gone")).select(F.struct("doc_id", "h").alias("doc"), "gone")
+    mine, away = "__row_of_lines", "__lines_away"
+    text = F.col(text_col).cast("string")
+    rows = docs.drop("n_lines", "n_dropped").withColumn(mine, F.struct(F.col(id_col).try_cast("long").alias("doc_id"), F.xxhash64(text).alias("h")))
+    rows = rows.join(bounded(gone.toDF("__doc", away)), F.col(mine) == F.col("__doc"), "left")
+    split = F.split(text, "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(away))
+    out = F.when(F.col(away).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(split, i + 1)), "\n"))
+    n_lines = F.coalesce(F.size(F.filter(split, lambda x: x.rlike(r"\S"))), F.lit(0))
+    n_lines = F.when(text.isNull(), 0).otherwise(n_lines)
+    return rows.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": F.when(F.col(away).isNull(), 0).otherwise(F.size(away)).cast("long"), text_col: out}).drop(away, mine, "__doc")
 
 
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -271,7 +271,45 @@ def test_licenses(spark, docs, none):
 
 
 def line_set(line: str) -> set[str]:
-    return {m[1] for m in re.finditer(r"(?s)(?=(.{1,12}))[^ \t\n\x0b\f\r]{1,8}", line)}
+    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
+
+
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    line = "the quick brown fox jumps over the lazy dog near the river bank"
+    rows = [(1, line), (2, "first words of it\n" + line), (2, "other words here\nnothing alike in this text at all"), (3, "-" * 20), (4, "-" * 90), (None, line)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").withColumn("__gone", F.lit(1))).collect()
+    assert sorted((x["doc_id"], x["text"]) for x in got if x["doc_id"]) == [(1, line), (2, "first words of it"), (2, rows[2][1]), (3, rows[3][1]), (4, "")]
+    assert [x["n_dropped"] for x in got if x["doc_id"] is None] == [0]
+    named = line_dedup.dedup_lines(spark.createDataFrame([("a1", line), ("a2", line)], "doc_id string, text string")).collect()
+    assert [x["n_dropped"] for x in named] == [0, 0]
+
+
+def test_line_dedup_recall(spark):
+    """Lines of similarity from 0.8 share a component, against all pairs; repeating and short lines included."""
+    r = random.Random(31)
+    lines = []
+    for k in range(120):
+        line = (sentence(r, r.choice((3, 5, 8, 14, 30, 60))) + " ") * r.choice((1, 1, 1, 3)) if k % 4 else sentence(r, 2) * r.randint(1, 9)
+        for _ in range(4):
+            at = r.randrange(len(line))
+            lines.append(line)
+            line = line[:at] + r.choice(("", "q", line[at : at + 30])) + line[at + r.randrange(3) :]
+    lines = sorted({x.strip() for x in lines if x.strip()})
+    sets = [line_set(x) for x in lines]
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    parent = list(range(len(lines)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in pairs:
+        x, y = sorted((root(i), root(j)))
+        parent[y] = x
+    got = {x["doc_id"] for x in line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect() if x["n_dropped"]}
+    want = {i for i in range(len(lines)) if root(i) != i}
+    assert len(want) > 200 and got <= want and len(got) >= 0.998 * len(want)
 
 
 def test_line_dedup(spark, docs, none, corpus):
