@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -15,6 +17,7 @@ CACHE_WORDS = 150_000  # entries a worker's word cache holds before it starts af
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,6 +48,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has made in the shared folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 BROADCAST_BYTES = 48 << 20  # of a table that is sent whole to every task; above, the same join is made by shuffle
 
 
@@ -118,8 +127,33 @@ def shingle_set(cache: WordHashes, text: bytes | None, k: int) -> np.ndarray:
     return np.unique(windows(h, k))
 
 
-def binary(column) -> list[bytes | None]:
-    """An Arrow string column as UTF-8 bytes, without decoding."""
-    import pyarrow as pa
+STEP = 256  # texts that are Python objects at a time
+
+
+def binary(column) -> Iterator[bytes | None]:
+    """An Arrow string column as UTF-8 bytes, without decoding, a few texts at a time."""
+    column = column.cast(pa.binary())
+    for at in range(0, len(column), STEP):
+        yield from column.slice(at, STEP).to_pylist()
+
+
+def holds(text: Column, setup) -> Column:
+    """A boolean column from ``setup()``, which gives a test of one text as UTF-8 bytes; only ``text`` goes to Python."""
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        test = setup()
+        for batch in batches:
+            yield pa.array([test(t) for t in binary(batch)], pa.bool_())
+            pa.default_memory_pool().release_unused()
+
+    return run(text)
+
+
+BATCH_ROWS = 1000  # rows of an Arrow batch of whole texts
+
 
-    return column.cast(pa.binary()).to_pylist()
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of the session hold at most BATCH_ROWS rows, so that long texts stay within a worker's memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))

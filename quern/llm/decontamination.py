@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import CACHE_WORDS, binary, once, table, windows
+from quern.llm.common import CACHE_WORDS, binary, holds, once, table, windows
 
 WINDOW = 8
 NEED = 13
@@ -213,27 +213,35 @@ def matches(doc: Template, hits: list[tuple[int, int, int, int]], item_of) -> di
 class Matcher:
     """Finds the items of a broadcast benchmark in a text."""
 
-    def __init__(self, items: list[tuple[int, bytes | None]]):
-        self.vocabulary, self.items, self.made = Vocabulary(), dict(items), {}
-        self.index = item_windows(items)
+    def __init__(self, items: list[tuple[int, bytes | None]], vocabulary: Vocabulary | None = None):
+        self.vocabulary, self.made = vocabulary or Vocabulary(), {}
+        self.names, self.texts = [item for item, _ in items], [text for _, text in items]
+        self.index = item_windows(list(enumerate(self.texts)))  # by row, for rows may share an item's id
         self.bits = {}
         for width, found in self.index.items():
-            bits = np.zeros(1 << 22, dtype=bool)
-            bits[np.fromiter(found, dtype=np.uint64, count=len(found)) & np.uint64((1 << 22) - 1)] = True
+            size = 1 << min(22, max(10, (64 * len(found)).bit_length()))
+            bits = np.zeros(size, dtype=bool)
+            bits[np.fromiter(found, dtype=np.uint64, count=len(found)) & np.uint64(size - 1)] = True
             self.bits[width] = bits
 
-    def item(self, item: int) -> Template:
-        if item not in self.made:
-            self.made[item] = Template(None, self.items[item])
-        return self.made[item]
+    def item(self, row: int) -> Template:
+        if row not in self.made:
+            self.made[row] = Template(None, self.texts[row])
+        return self.made[row]
 
     def find(self, text: bytes | None) -> dict[int, tuple[int, int, int]]:
+        """By item id: the longest run, then the first, then the one with fewest changed slots."""
         doc, hits = Template(self.vocabulary, text), []
         for width, found in self.index.items():
-            h = doc.hashes(width)
-            for form, at in np.argwhere(self.bits[width][h & np.uint64((1 << 22) - 1)]).tolist():
-                hits += [(item, to, at, width) for item, to in found.get(int(h[form, at]), ())]
-        return matches(doc, hits, self.item) if hits else {}
+            h, bits = doc.hashes(width), self.bits[width]
+            for form, at in np.argwhere(bits[h & np.uint64(len(bits) - 1)]).tolist():
+                hits += [(row, to, at, width) for row, to in found.get(int(h[form, at]), ())]
+        best: dict[int, tuple[int, int, int]] = {}
+        for row, run in (matches(doc, hits, self.item) if hits else {}).items():
+            name = self.names[row]
+            if name not in best or (-run[0], *run[1:]) < (-best[name][0], *best[name][1:]):
+                best[name] = run
+        return best
 
 
 RESULT = "doc_id long, item_id long, first_word long, n_words long, n_changed long"
@@ -250,48 +258,85 @@ def _fits(benchmark: DataFrame, text_col: str) -> bool:
     return words * 3 <= BROADCAST_WINDOWS  # a window has up to three forms
 
 
-def _matcher(benchmark: DataFrame, id_col: str, text_col: str):
-    items = [(r[0], (r[1] or "").encode()) for r in benchmark.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).collect()]
-    return benchmark.sparkSession.sparkContext.broadcast(sorted(items))
+def _asked(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("asked")).filter("item_id IS NOT NULL")
 
 
-def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The same result for a benchmark too large to broadcast: windows meet in a hash join, texts follow for the pairs that met."""
+def _matcher(asked: DataFrame):
+    """The distinct items as a broadcast, at most BROADCAST_WINDOWS of windows."""
+    return asked.sparkSession.sparkContext.broadcast(sorted((r[0], r[1].encode()) for r in asked.distinct().collect()))
 
-    def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _pairs(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(key, item_id, asked) of the texts, by their ``key``, and items that share a window: windows meet in a hash join, texts stay behind."""
+
+    def widths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary()
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), binary(batch.column(1)), strict=True):
-                t = Template(vocabulary, text)
-                hs = [np.unique(t.hashes(w)[t.usable(w)]) for w in (range(LITERALS, WINDOW + 1) if len(batch.columns) > 2 else [width_of(len(t))]) if w]
-                h = np.concatenate(hs).view(np.int64) if hs else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * len(h), pa.int64()), pa.array(h)], names=["id", "h"])
+            found = {width_of(len(Template(vocabulary, t))) for t in binary(batch.column(0))} - {0}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["w"])
+
+    present = sorted(r.w for r in asked.select("asked").mapInArrow(widths, "w long").distinct().collect())  # WINDOW values at most
+
+    def cuts(own: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vocabulary = Vocabulary()
+            for batch in batches:
+                rows, found = [], []
+                for at, text in enumerate(binary(batch.column(1))):
+                    t = Template(vocabulary, text)
+                    for w in [width_of(len(t))] if own else present:
+                        if w:
+                            h = np.unique(t.hashes(w)[t.usable(w)])
+                            found.append(h.view(np.int64))
+                            rows.append(np.full(len(h), at))
+                at = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(np.concatenate(found) if found else np.empty(0, np.int64), pa.int64())], names=["key", "h"])
+
+        return run
+
+    one = asked.withColumn("row", F.struct("item_id", F.xxhash64("asked").alias("t")))
+    theirs = one.select("row", "asked").distinct().mapInArrow(cuts(True), "key struct<item_id:long,t:long>, h long").toDF("row", "h")
+    mine = docs.select("key", "text").mapInArrow(cuts(False), "key struct<a:long,b:long>, h long")
+    met = mine.join(theirs, "h").select("key", "row").distinct()
+    return met.join(one.select("row", "item_id", "asked").distinct(), "row").select("key", "item_id", "asked")
+
+
+def _by_shuffle(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The same result for a benchmark too large to broadcast. Equal texts are one text until the end, so rows are told by their text, not their id."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, last = Vocabulary(), (None, None)
         for batch in batches:
             out = []
-            for doc, item, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += [(doc, k, first, n, changed) for k, (n, first, changed) in Matcher([(item, asked.encode())]).find(text.encode()).items()]
-            yield _rows(out)
-
-    mine = docs.withColumn("all", F.lit(True)).mapInArrow(cuts, "id long, h long")
-    asked = benchmark.mapInArrow(cuts, "id long, h long")
-    pairs = mine.withColumnRenamed("id", "doc").join(asked.withColumnRenamed("id", "item"), "h").select("doc", "item").distinct()
-    full = pairs.join(docs, pairs.doc.eqNullSafe(docs.doc_id)).join(benchmark.toDF("item", "asked"), "item")
-    return full.select("doc", "item", "text", "asked").mapInArrow(check, RESULT)
+            for key, text, item, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if last[0] != (item, words):
+                    last = (item, words), Matcher([(item, words.encode())], vocabulary)
+                out += [(*key.values(), k, *run) for k, run in last[1].find(text.encode()).items()]
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "item_id", "n_words", "first_word", "n_changed"])
+
+    keyed = docs.withColumn("key", F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")))
+    pairs = _pairs(keyed, asked)
+    texts = keyed.join(pairs.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    full = pairs.join(texts, "key").select("key", "text", "item_id", "asked").sortWithinPartitions("item_id", "asked")
+    runs = full.mapInArrow(check, "a long, b long, item_id long, n_words long, first_word long, n_changed long")
+    best = runs.groupBy("a", "b", "item_id").agg(F.min(F.struct((-F.col("n_words")).alias("n"), "first_word", "n_changed")).alias("m"))
+    met = keyed.select("doc_id", "key").join(best, (F.col("key.a") == best.a) & (F.col("key.b") == best.b))
+    return met.select("doc_id", "item_id", "m.first_word", (-F.col("m.n")).alias("n_words"), "m.n_changed")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast: bool | None = None) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, first_word, n_words (of the longest consistent run), n_changed (slots whose value differs from the item's).
 
     Documents without a row are clean. Null or blank texts and items, and items of fewer than four template words, match nothing; items with a
-    null id are left out; a null document id keeps its rows. Repeated documents repeat their rows. Other columns are ignored. Either table may be empty.
+    null id are left out; a null document id keeps its rows. Repeated documents repeat their rows; of items with one id the longest run counts. Other columns are ignored. Either table may be empty.
     """
     lean = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    asked = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text")).filter("item_id IS NOT NULL")
-    if not (broadcast if broadcast is not None else _fits(asked, "text")):
+    asked = _asked(benchmark, item_col, item_text_col)
+    if not (broadcast if broadcast is not None else _fits(asked, "asked")):
         return _by_shuffle(lean, asked)
-    items = _matcher(asked, "item_id", "text")
+    items = _matcher(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = once(items.value, Matcher)
@@ -301,19 +346,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return lean.mapInArrow(run, RESULT)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents in which no benchmark item is found, all columns kept. With a broadcast benchmark texts aren't shuffled."""
-    asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("item_id IS NOT NULL")
-    if not _fits(asked, "text"):
-        return docs.join(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti")
-    items, at = _matcher(asked, "item_id", "text"), docs.columns.index(text_col)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast: bool | None = None) -> DataFrame:
+    """The rows in whose text no benchmark item is found, all columns kept; a row's id plays no part. Nulls and repeats as in ``contaminated``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    With a broadcast benchmark only texts go to Python and nothing is shuffled; with a larger one, texts that are found leave by an anti join.
+    """
+    asked = _asked(benchmark, "item_id", "text")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    if not (broadcast if broadcast is not None else _fits(asked, "asked")):
+        found = _by_shuffle(docs.select(text.alias("text")).distinct().withColumn("doc_id", F.xxhash64("text")), asked).select(F.col("doc_id").alias("__found")).distinct()
+        return docs.join(found, F.xxhash64(text) == F.col("__found"), "left_anti")
+    items = _matcher(asked)
+
+    def setup():
         matcher = once(items.value, Matcher)
-        for batch in batches:
-            yield batch.filter(pa.array([not matcher.find(t) for t in binary(batch.column(at))], pa.bool_()))
+        return lambda t: not matcher.find(t)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(holds(text, setup))
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -106,12 +106,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     size is the number of words (a null or blank text: 0), taken = copies * size. A null source is a source of its own, last in order.
     Null ids and repeated rows are rows like others. A source of blank texts has target 0. Other columns are ignored; an empty table
-    gives an empty result. The draw depends on ids, sources and sizes alone, so reruns agree. Only (id, source, size) is shuffled; a
+    gives an empty result. The draw depends on ids, texts and sources alone, so reruns agree. Only (id, source, size) is shuffled; a
     source with a third of all rows is dealt into blocks. One row per source, at most MAX_SOURCES, goes to the driver.
     """
     spark = docs.sparkSession
     words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")))
+    rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), F.xxhash64(F.col(text_col).cast("string")).alias("t")))
     totals = [(r.source, r.n, r.rows) for r in rows.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).limit(MAX_SOURCES + 1).collect()]
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
@@ -124,7 +124,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         pi = max(0.0, min(1.0, ratio - whole)) if whole < MAX_COPIES else 0.0
         plan.append((i, source, n, t, whole, pi if pi > NEAR else 0.0, max(1, -(-count // block))))
     known = F.broadcast(spark.createDataFrame(plan, "s int, name string, source_size long, target double, whole int, pi double, blocks long"))
-    placed = rows.join(known, rows.source.eqNullSafe(known.name)).select("s", "doc_id", "source", "size", "source_size", "target", "whole", "pi", "blocks", F.xxhash64("doc_id").alias("h"))
+    placed = rows.join(known, rows.source.eqNullSafe(known.name)).select("s", "doc_id", "source", "size", "source_size", "target", "whole", "pi", "blocks", F.xxhash64("doc_id", "t").alias("h"))
 
     schema = "s int, doc_id long, source string, size long, source_size long, target double, whole int, pi double, blocks long, h long"
     # a blank document has nothing to take; a source that is taken whole has nothing to draw
@@ -146,7 +146,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             break
         fewer = F.broadcast(spark.createDataFrame([(p[0], p[6]) for p in plan], "s int, fewer long"))
         rounds += 1
-        flying = flown.filter("pi > 0 AND pi < 1").join(fewer, "s").withColumn("blocks", F.col("fewer")).withColumn("h", F.xxhash64("doc_id", F.lit(rounds))).select(*[c.split()[0] for c in schema.split(", ")])
+        flying = flown.filter("pi > 0 AND pi < 1").join(fewer, "s").withColumn("blocks", F.col("fewer")).withColumn("h", F.xxhash64("h", F.lit(rounds))).select(*[c.split()[0] for c in schema.split(", ")])
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more.select(out.columns))

@@ -28,7 +28,7 @@ from quern.llm.components import components
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**48 < 1e-6
 SKETCH_BITS = 512
 STAR_ROUNDS = 1  # rounds of new leaders before the remaining pairs are tried
-BLOOM_WORDS = 1 << 18  # 2 MB of bits at every input size; when full it lets more texts through, never fewer
+BLOOM_ROWS = 4_000_000  # texts of which a bitmap (8 MB) is broadcast
 
 
 def _parameters(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,13 +69,13 @@ def most_differing(threshold: float, samples: int, bits: int) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """id, n_shingles, set hash (h1, h2), band keys and odd sketch of each row, made map-side."""
+    """id, hash t of the text, n_shingles, set hash (h1, h2), band keys and odd sketch of each row, made map-side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, (a, b) = WordHashes(), _parameters(bands * rows)
         for batch in batches:
-            texts, made = binary(batch.column(1)), []
-            for text in texts:
+            made = []
+            for text in binary(batch.column(1)):
                 items = shingle_set(cache, text, shingle)
                 if not len(items):
                     made.append((0, None, None, None, None))
@@ -86,43 +86,63 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands:
                 made.append((len(items), h1, h2, band_keys(low, bands, rows).view(np.int64), odd_sketch(low, SKETCH_BITS)))
             n, h1, h2, keys, sketch = zip(*made, strict=True) if made else ([], [], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-                names=["id", "n", "h1", "h2", "bands", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
+                names=["id", "t", "n", "h1", "h2", "bands", "sketch"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n long, h1 long, h2 long, bands array<long>, sketch array<long>")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("t")).mapInArrow(run, "id long, t long, n long, h1 long, h2 long, bands array<long>, sketch array<long>")
 
 
-def _bloom(ids: DataFrame) -> np.ndarray:
-    """Bitmap of the ids; at most BLOOM_WORDS rows reach the driver, whatever the input."""
-    positions = F.explode(F.array(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(BLOOM_WORDS * 64)) for i in range(3)])).alias("p")
-    word = ids.select(positions).groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
+def _bits(rows: int) -> int:
+    """64-bit words of a Bloom bitmap with sixteen bits a row."""
+    return 1 << max(8, (rows // 4).bit_length())
+
+
+def _bloom(hashes: DataFrame, words: int) -> np.ndarray:
+    """Bitmap of the column t; at most ``words`` rows reach the driver."""
+    positions = F.explode(F.array(*[F.pmod(F.xxhash64("t", F.lit(i)), F.lit(words * 64)) for i in range(3)])).alias("p")
+    word = hashes.select(positions).groupBy(F.shiftright("p", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
     got = word.toPandas()
-    out = np.zeros(BLOOM_WORDS, dtype=np.uint64)
+    out = np.zeros(words, dtype=np.uint64)
     out[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
-def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, ids: DataFrame) -> DataFrame:
-    """(id, items) for the rows whose id may be in ``ids``; items is the sorted set of shingle hashes."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_bloom(ids))
-    lean = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.array(*[F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(i)), F.lit(BLOOM_WORDS * 64)) for i in range(3)]).alias("p"))
+def full_sets(docs: DataFrame, text_col: str, shingle: int, wanted: DataFrame) -> DataFrame:
+    """(id, items) for each row of ``wanted`` (id, t): the sorted set of shingle hashes of the texts with hash t.
+
+    Up to BLOOM_ROWS rows a broadcast bitmap keeps other texts out of Python and the shuffle; beyond, a semi join on the hash does.
+    """
+    text = F.col(text_col).cast("string")
+    lean = docs.select(text.alias("text"), F.xxhash64(text).alias("t"))
+    rows = wanted.count()
+    bits = None
+    if rows <= BLOOM_ROWS:
+        words = _bits(rows)
+        bits = docs.sparkSession.sparkContext.broadcast(_bloom(wanted, words))
+        lean = lean.withColumn("p", F.array(*[F.pmod(F.xxhash64("t", F.lit(i)), F.lit(words * 64)) for i in range(3)]))
+    else:
+        lean = lean.join(wanted.select("t").distinct(), "t", "left_semi").select("text", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            p = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 3)
-            hit = ((bits.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)
-            kept = batch.filter(pa.array(hit & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
-            sets = [shingle_set(cache, t, shingle).view(np.int64) for t in binary(kept.column(1))]
+            if bits is not None:
+                p = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 3)
+                batch = batch.filter(pa.array(((bits.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1)).all(axis=1)))
+            sets = [shingle_set(cache, t, shingle).view(np.int64) for t in binary(batch.column(0))]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             items = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([kept.column(0), items], names=["id", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), items], names=["t", "items"])
 
-    return lean.mapInArrow(run, "id long, items array<long>")
+    made = lean.mapInArrow(run, "t long, items array<long>")
+    made = stored(made.join(wanted, "t").select("id", "items").dropDuplicates(["id"]), "near-sets")
+    if bits is not None:
+        bits.destroy()
+    return made
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -185,32 +205,35 @@ def _new_leaders(placed: DataFrame, again: int) -> DataFrame:
 
 
 class _Sets:
-    """Full sets of the ids asked for so far; only those not made yet cost another pass over the texts."""
+    """Full sets of the classes asked for so far; only those not made yet cost another pass over the texts."""
 
-    def __init__(self, *source):
-        self.source, self.made, self.held = source, None, None
+    def __init__(self, docs: DataFrame, text_col: str, shingle: int, texts: DataFrame):
+        self.source, self.texts, self.made, self.held = (docs, text_col, shingle), texts, None, None
 
     def add(self, ids: DataFrame) -> None:
         new = ids if self.held is None else ids.join(self.held, "id", "left_anti")
-        new = cut(new)
+        new = cut(self.texts.join(new, "id", "left_semi"))
         if self.made is None or new.take(1):
-            got = full_sets(*self.source, new).join(new, "id", "left_semi").dropDuplicates(["id"])
-            got = stored(got, "near-sets")
+            got = full_sets(*self.source, new)
             self.made = got if self.made is None else self.made.union(got)
+            new = new.select("id")
             self.held = new if self.held is None else self.held.union(new)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept.
+    """One row per input row: id, n_shingles, component_id, kept, text_hash (xxhash64 of the text, which tells rows of one id apart).
 
     component_id is the smallest id reachable over links between texts whose shingle sets have a Jaccard similarity of at least
-    ``percent`` / 100; kept is true for that smallest id. Repeated rows share a class. A null or blank text has an empty set, is
+    ``percent`` / 100; kept is true for that smallest id. Repeated rows share a class; rows of one id with different texts are
+    different documents. A null or blank text has an empty set, is
     linked with nothing and kept under its own id. A null id takes part in no link: component_id is null, kept true.
     Other columns are ignored. An empty table gives an empty result.
     """
     sig = stored(signatures(docs, id_col, text_col, shingle, bands, rows), "near-sig")
     live = sig.filter(F.col("id").isNotNull() & (F.col("n") > 0))
-    reps = cut(live.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.min_by(F.struct("n", "bands", "sketch"), "id").alias("s")).select("h1", "h2", "id", "s.n", "s.bands", "s.sketch"))
+    # a class, one for each set, has a number of its own beside its smallest document, for a document's rows may differ
+    reps = live.groupBy("h1", "h2").agg(F.min("id").alias("doc"), F.min("t").alias("t"), F.first(F.struct("n", "bands", "sketch")).alias("s"))
+    reps = cut(reps.select(F.xxhash64("h1", "h2").alias("id"), "doc", "t", "s.n", "s.bands", "s.sketch"))
     lean = reps.select("id", "n", "sketch")
     samples = bands * rows
 
@@ -218,7 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = reps.select("id", F.explode("bands").alias("key"))
     leaders = dealt.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "leader")
     close = cut(_near(dealt.join(leaders, "key").filter(F.col("id") != F.col("leader")).select("id", "leader").distinct(), lean, percent, samples))
-    sets = _Sets(docs, id_col, text_col, shingle)
+    sets = _Sets(docs, text_col, shingle, reps.select("id", "t"))
     sets.add(_ends(close, "id", "leader"))
     links = cut(verify(_best(close), sets.made, percent))
     joined = cut(components(links, "a", "b"))
@@ -238,29 +261,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         links = links.union(more)
         joined = cut(components(links, "a", "b"))
-    # classes with a near partner in another component, then pair by pair on full sets inside a join that only confirmed links leave
+    # pairs that sketches leave in different components, each once, then their full sets
     members = _placed(rest, joined)
     apart = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     members = cut(members.join(apart, "key", "left_semi").join(lean, "id"))
     x, y = members.alias("x"), members.alias("y")
     near = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _close("x", "y", percent, samples)
-    live, final = cut(x.join(y, near, "left_semi")), joined
-    if live.take(1):
-        sets.add(live.select("id").distinct())
-        full = live.join(sets.made, "id")
-        x, y = full.alias("x"), full.alias("y")
-        same = F.size(F.array_intersect("x.items", "y.items"))
-        exact = same * 100 >= (F.col("x.n") + F.col("y.n") - same) * percent
-        more = cut(x.join(y, (F.col("x.id") < F.col("y.id")) & near & exact).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    pairs = cut(x.join(y, (F.col("x.id") < F.col("y.id")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    final = joined
+    if pairs.take(1):
+        sets.add(_ends(pairs, "a", "b"))
+        more = cut(verify(pairs, sets.made, percent))
         final = components(links.union(more), "a", "b") if more.take(1) else joined
 
-    classes = reps.join(final, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
-    out = sig.select("id", "n", "h1", "h2").join(classes, ["h1", "h2"], "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    classes = reps.join(final, "id", "left").select("id", "doc", F.coalesce("component", "id").alias("group"))
+    least = classes.groupBy("group").agg(F.min("doc").alias("component"))
+    classes = classes.join(least, "group").select(F.col("id").alias("class"), "component")
+    out = sig.select("id", "t", "n", F.when(F.col("n") > 0, F.xxhash64("h1", "h2")).alias("class")).join(classes, "class", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.col("t").alias("text_hash"))
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:
     from quern.llm.common import table
 
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2).drop("text_hash")

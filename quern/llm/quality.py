@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import WordHashes, binary, table, windows, word_hashes
+from quern.llm.common import WordHashes, binary, holds, table, windows, word_hashes
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -142,12 +142,10 @@ def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that ``quality_rules`` keeps, all columns as they are; nothing is shuffled."""
-    at = docs.columns.index(text_col)
+    """The rows that ``quality_rules`` keeps, all columns as they are; nothing is shuffled, and only texts go to Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def setup():
         cache = WordHashes()
-        for batch in batches:
-            yield batch.filter(pa.array([measure(cache, t)[-1] for t in binary(batch.column(at))], pa.bool_()))
+        return lambda text: measure(cache, text)[-1]
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(holds(F.col(text_col).cast("string"), setup))

@@ -78,13 +78,33 @@ def test_decontamination(spark, none):
     table = spark.createDataFrame(texts, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     for broadcast in (True, False):
         got = {(x["doc_id"], x["item_id"]): x["n_changed"] for x in decontamination.contaminated(table, bench, broadcast=broadcast).collect()}
-        assert set(got) == {(1, 1), (2, 1), (7, 2), (8, 2), (None, 2)}
+        assert set(got) == {(1, 1), (2, 1), (3, 1), (7, 2), (8, 2), (None, 2)}
         assert got[2, 1] > 0 and got[7, 2] == 0
     kept = decontamination.decontaminate(table, bench)
-    assert {x["doc_id"] for x in kept.collect()} == {3, 4, 5, 6, 9} and kept.columns == table.columns
+    assert {x["doc_id"] for x in kept.collect()} == {4, 5, 6, 9} and kept.columns == table.columns
     assert decontamination.contaminated(none, bench).count() == 0 and decontamination.contaminated(table, bench.limit(0)).count() == 0
 
 
+def test_decontamination_decides_by_row(spark):
+    """Null and repeated ids of documents and items, the same by broadcast and by shuffle."""
+    r = random.Random(4)
+    one, two, clean = sentence(r, 20), sentence(r, 25), sentence(r, 30)
+    bench = spark.createDataFrame([(1, one), (1, two), (1, two), (2, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(None, one), (2, two), (2, clean), (2, clean), (3, one + " " + two), (4, None), (None, clean)], "doc_id long, text string")
+    found = [sorted(map(tuple, decontamination.contaminated(docs, bench, broadcast=b).collect()), key=str) for b in (True, False)]
+    assert found[0] == found[1] == sorted([(None, 1, 0, 20, 0), (2, 1, 0, 25, 0), (3, 1, 20, 25, 0)], key=str)
+    kept = [sorted(map(tuple, decontamination.decontaminate(docs, bench, broadcast=b).collect()), key=str) for b in (True, False)]
+    assert kept[0] == kept[1] == sorted([(2, clean), (2, clean), (4, None), (None, clean)], key=str)
+
+
+def test_near_dedup_of_one_id_with_two_texts(spark):
+    r = random.Random(6)
+    w, v = sentence(r, 60), sentence(r, 60)
+    rows = [(1, w), (2, v), (9, w + " more"), (9, v + " more"), (None, w)]
+    got = sorted(tuple(x)[:4] for x in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect() if x["doc_id"])
+    assert [(x[0], x[2], x[3]) for x in got] == [(1, 1, True), (2, 2, True), (9, 1, False), (9, 2, False)]
+
+
 def test_secrets(docs, none, spark):
     automata = secrets.infer(secrets.labelled_credentials())
     for name, values in secrets.labelled_credentials(100, seed=99).items():  # held-out credentials
