@@ -3,10 +3,10 @@
 Two lines are alike if the sets of their runs of five characters, at every offset, have a Jaccard similarity of 0.8; a shorter line is its
 own only run. Signatures are MinHash samples: of the hashes of a line's runs of sixteen characters, at every offset, those below a bound
 that leaves SAMPLE of them on average, and each is a band key. Long runs tell lines apart that share common words, and lines at
-similarity 0.8 still share about two thirds of theirs, so they miss each other with a probability below 0.1 %. Lines below SHORT characters,
+similarity 0.8 still share about two thirds of theirs, so few of them share less than SHARED percent of their keys. Lines below SHORT characters,
 or that repeat themselves, also have keys of three neighbours among the least hashes of their runs of five.
 
-Candidates share two keys, or one of the latter kind. Each line is tried against one line of each key first; lines of a key that then lie
+Candidates share SHARED percent of their keys, or one of the latter kind. Each line is tried against one line of each key first; lines of a key that then lie
 in different components are compared inside a join that only candidates leave. Candidates are id pairs; the lines themselves are fetched
 once the pairs are distinct, and decided by exact Jaccard similarity. Components come from star contraction, and the first line of each
 component in (id, hash of the text, position) order is kept.
@@ -25,9 +25,11 @@ from quern.llm.components import components
 
 RUN, LONG = 5, 16  # characters of a run for similarity, and for keys
 SHORT = 40  # characters below which a line has keys of short runs; from LONG * 2 it has keys of long ones as well
-SAMPLE, REPEATING = 16, 128  # keys of a line, on average; of one that repeats itself
+SAMPLE, REPEATING = 14, 64  # keys of a line, on average; of one that repeats itself
+SHARED = 15  # percent of the keys of either that a pair must share; at similarity 0.8 it shares about 48, and fewer than 15 with a probability of 0.1 %
 NEIGHBOURS = 18  # least hashes of short runs, of which each three neighbours are a key
 FREQUENT = 200_000  # rows of the table of frequent lines
+WORDS = 1 << 18  # 64-bit words of the bitmap of keys that several lines have; when full it lets more rows through, never fewer
 LENGTHS = 40  # percent: least ratio of the lengths of two lines that tell no repetition; their sets differ less
 BLANK = " \t\r\x0b\x0c"
 HALF = 1 << 63
@@ -74,10 +76,10 @@ def _dealt(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return hashed.filter(kept | F.col("head")).select("doc_id", "h", "pos", "id", "m", "head", F.when(kept, F.col("key")).alias("key"))
 
 
-def _related(x: str, y: str) -> Column:
-    """Whether two lines with sorted keys ``x`` and ``y`` share two keys, or one of neighbours."""
+def _related(x: str, y: str, k: Column) -> Column:
+    """Whether two lines, of ``k`` keys together, share enough of their sorted keys ``x`` and ``y``, or one of neighbours."""
     both = F.array_intersect(x, y)
-    return (F.size(both) >= 2) | F.exists(both, lambda k: k.bitwiseAND(1) == 1)
+    return (F.size(both) * 100 >= (k - F.size(both)) * SHARED) | F.exists(both, lambda h: h.bitwiseAND(1) == 1)
 
 
 def _set(line: Column) -> Column:
@@ -121,13 +123,17 @@ def line_components(dealt: DataFrame, spots: DataFrame, checker: _Checker) -> Da
     total = spots.agg(F.sum("n")).first()[0] or 0
     often = F.broadcast(spots.filter(F.col("n") >= max(2, -(-total // FREQUENT))).select("id", "at"))  # total / FREQUENT copies each: at most FREQUENT rows
     once = dealt.filter("key IS NOT NULL").join(often, "id", "left").filter(F.col("at").isNull() | (F.struct("doc_id", "h", "pos") == F.col("at"))).select("id", "key")
-    several = once.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key", "lo")
-    met = stored(once.join(several.hint("shuffle_hash"), "key").select("id", "key", "lo").distinct(), "met")
+    several = cut(once.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("key", "lo"))
+    word, bit = F.shiftright("key", 7).bitwiseAND(WORDS - 1).cast("int").alias("w"), F.expr("shiftleft(1L, cast(key >> 1 & 63 AS int))")
+    bitmap = several.select(word, bit.alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    likely = once.select("id", "key", word).join(F.broadcast(bitmap), "w").filter(F.col("bits").bitwiseAND(bit) != 0).select("id", "key")
+    met = stored(likely.join(several.hint("shuffle_hash"), "key").select("id", "key", "lo").distinct(), "met")
 
     # one leader a key
-    keys = stored(met.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys")), "keys")
+    counts = dealt.groupBy("id").agg((F.count("key") / F.sum(F.col("head").cast("int"))).cast("int").alias("k"))  # every copy of a line has the same rows
+    keys = stored(met.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys")).join(counts, "id"), "keys")
     tried = met.filter("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct()
-    tried = tried.join(keys.toDF("a", "x"), "a").join(keys.toDF("b", "y"), "b").filter(_related("x", "y")).select("a", "b")
+    tried = tried.join(keys.toDF("a", "x", "k"), "a").join(keys.toDF("b", "y", "n"), "b").filter(_related("x", "y", F.col("k") + F.col("n"))).select("a", "b")
     tried = cut(tried)
     links = checker.links(tried)
     joined = cut(components(links, "a", "b"))
@@ -138,13 +144,13 @@ def line_components(dealt: DataFrame, spots: DataFrame, checker: _Checker) -> Da
     apart = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     rest = placed.join(apart.hint("shuffle_hash"), "key")
     bit = lambda shift: F.aggregate("keys", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseOR(F.when(F.shiftright(k, 8).bitwiseAND(64) == shift, F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(k, 8).bitwiseAND(63).cast("int"))).otherwise(F.lit(0).cast("long"))))
-    sketch = keys.join(spots.select("id", "m"), "id").select("id", "m", bit(0).alias("m0"), bit(64).alias("m1"), "keys")
+    sketch = keys.join(spots.select("id", "m"), "id").select("id", "m", bit(0).alias("m0"), bit(64).alias("m1"), "keys", "k")
     live = rest.join(sketch, "id")
     x, y = live.alias("x"), live.alias("y")
     common = F.bit_count(F.col("x.m0").bitwiseAND(F.col("y.m0"))) + F.bit_count(F.col("x.m1").bitwiseAND(F.col("y.m1")))
     sizes = (F.least("x.m", "y.m") < 0) | (F.least("x.m", "y.m") * 100 >= F.greatest("x.m", "y.m") * LENGTHS)
-    near = (common >= 2) | (F.col("x.key").bitwiseAND(1) == 1)
-    met2 = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & sizes & near & _related("x.keys", "y.keys")
+    near = (common >= 2) | (F.least("x.k", "y.k") < 8) | (F.col("x.key").bitwiseAND(1) == 1)
+    met2 = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & sizes & near & _related("x.keys", "y.keys", F.col("x.k") + F.col("y.k"))
     more = x.join(y, met2).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = cut(more.join(done, ["a", "b"], "left_anti"))
