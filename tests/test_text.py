@@ -57,6 +57,17 @@ def test_unit_aliases(alias, unit):
     assert units.alias_lookup()[units.normalize_alias(alias)] == unit
 
 
+def test_every_unit_alias_resolves():
+    found, seen = units.alias_lookup(), set()
+    assert len(units.definitions()) == 108
+    for u in units.definitions():
+        for alias in (u.canonical, u.preferred, *u.aliases):
+            key = units.normalize_alias(alias)
+            assert found[key] == u.canonical or key in seen  # the first definition of an alias stands
+            seen.add(key)
+    assert found["мb/s".replace("м", "m")] == "mbps" and found["микрон"] == "um" and found["квадратныйметр"] == "m2"
+
+
 def test_scanner_golden_cases():
     scanner = measure.Scanner(units.definitions(), {"hp": 100})
 
