@@ -71,14 +71,14 @@ def quarantine(queries: DataFrame, text: str) -> DataFrame:
     return queries.filter(F.length(text) > MAX_CHARS)
 
 
-def annotate(queries: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int = 4, hint: str | None = None, brands: dict[str, int] | None = None, lemma=None) -> DataFrame:
+def annotate(queries: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int = 4, hint: str | None = None, brands: dict[str, int] | None = None, lemma=None, lemmas: DataFrame | None = None) -> DataFrame:
     """One row per query of at most MAX_CHARS characters: query_model, search_text, intents, facts, entities, bio_tags, bio_mask, rejected, warnings.
 
-    ``dictionary`` has pattern, entity_type (brand, category, color), entity_id, canonical, count, source; ``key`` is unique per row.
+    ``dictionary`` has pattern, entity_type (brand, category, color), entity_id, canonical, count, source; ``key`` is unique per row. With ``lemmas`` (token, lemma) dictionary spans match by lemma as well.
     """
     base = queries.filter(F.coalesce(F.length(text), F.lit(0)) <= MAX_CHARS).withColumn("query_model", model_text(F.coalesce(F.col(text), F.lit(""))))
     stopped = stopwords(stages(F.coalesce(F.col(text), F.lit("")), lemma)["lemma"])
-    met = match.dictionary_matches(base, key, "query_model", dictionary, longest)
+    met = match.dictionary_matches(base, key, "query_model", dictionary, longest, lemmas)
     met = met.join(dictionary.filter("entity_type = 'color'").groupBy(F.col("pattern").alias("_p")).agg(F.max("count").alias("_count")), F.lower("surface") == F.col("_p"), "left")
     confidence = F.when((F.col("type") == "color") & ~F.col("ambiguous"), color_confidence(F.coalesce("_count", F.lit(0)), F.lower("surface"))).otherwise(F.col("confidence"))
     row = F.struct("type", "value", "surface", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), confidence.alias("confidence"), "source", "ambiguous", F.coalesce("_count", F.lit(0)).cast("long").alias("count"))

@@ -11,7 +11,7 @@ from quern.operators.clicks import purity
 #: Brand spellings, unit kinds and features of typed attributes, attribute names that aren't values.
 TRANSLITERATED = {"айфон": "iphone", "айфоны": "iphone", "эпл": "apple", "эппл": "apple", "аппл": "apple", "сяоми": "xiaomi", "ксиоми": "xiaomi", "самсунг": "samsung", "хуавей": "huawei", "хонор": "honor", "редми": "redmi", "реалми": "realme", "поко": "poco", "оппо": "oppo", "виво": "vivo", "техно": "tecno", "бош": "bosch", "сони": "sony", "филипс": "philips", "дайсон": "dyson", "хайер": "haier", "элджи": "lg", "асус": "asus", "леново": "lenovo", "эйсер": "acer"}
 UNIT_KINDS = {"гб": "memory", "gb": "memory", "тб": "memory", "tb": "memory", "дюйм": "diagonal", "дюйма": "diagonal", "дюймов": "diagonal", "см": "dimension", "мм": "dimension", "гц": "refresh", "hz": "refresh", "герц": "refresh", "мач": "battery", "mah": "battery", "л": "volume", "литр": "volume", "литра": "volume", "литров": "volume", "вт": "power", "квт": "power"}
-FEATURES = {"5g": ("network", "5g"), "4g": ("network", "4g"), "lte": ("network", "lte"), "wifi": ("connectivity", "wifi"), "wi fi": ("connectivity", "wifi"), "nfc": ("connectivity", "nfc"), "bluetooth": ("connectivity", "bluetooth"), "esim": ("sim", "esim"), "oled": ("panel", "oled"), "qled": ("panel", "qled"), "amoled": ("panel", "amoled"), "ips": ("panel", "ips"), "mini led": ("panel", "mini led"), "смарт": ("smart", "smart"), "smart": ("smart", "smart"), "инверторный": ("motor", "инверторный"), "инвертор": ("motor", "инверторный"), "с сушкой": ("feature", "с сушкой"), "с паром": ("feature", "с паром"), "сенсорный": ("control_type", "сенсорный")}
+FEATURES = {"5g": ("network", "5g"), "4g": ("network", "4g"), "lte": ("network", "lte"), "wifi": ("connectivity", "wifi"), "wi-fi": ("connectivity", "wifi"), "nfc": ("connectivity", "nfc"), "bluetooth": ("connectivity", "bluetooth"), "esim": ("sim", "esim"), "nano-sim": ("sim", "nano-sim"), "oled": ("panel", "oled"), "qled": ("panel", "qled"), "amoled": ("panel", "amoled"), "ips": ("panel", "ips"), "mini led": ("panel", "mini led"), "смарт": ("smart", "smart"), "smart": ("smart", "smart"), "инверторный": ("motor", "инверторный"), "инвертор": ("motor", "инверторный"), "с сушкой": ("feature", "с сушкой"), "с паром": ("feature", "с паром"), "сенсорный": ("control_type", "сенсорный")}
 ATTR_STOP_FIRST = "для под с из на без от по до в и к".split()
 ATTR_STOP_FULL = ("страна", "гарантия", "гарантия предоставляется", "модель", "вес", "ширина", "высота", "глубина", "бренд", "тип", "размер", "габаритные размеры", "цвет", "производитель", "артикул", "серия")
 MEMORY_CATEGORIES = ("Смартфоны", "Планшеты", "iPhone")
@@ -95,3 +95,30 @@ def entity_combinations(examples: DataFrame, tags: str) -> DataFrame:
     """How often each set of entity types stands together."""
     kinds = F.array_sort(F.array_distinct(F.transform(F.filter(tags, lambda t: t.startswith("B-")), lambda t: F.substring(t, 3, 1000))))
     return examples.select(F.when(F.size(kinds) == 0, "(none)").otherwise(F.array_join(kinds, "+")).alias("combination")).groupBy("combination").agg(F.count(F.lit(1)).alias("n_examples"))
+
+
+def features(text: Column) -> Column:
+    """array<struct<text,attr_type,value>> of words of the feature lexicon, the longest at each place."""
+    known = F.create_map(*[x for k, (kind, value) in FEATURES.items() for x in (F.lit(k), F.struct(F.lit(kind).alias("attr_type"), F.lit(value).alias("value")))])
+    names = "|".join(sorted((k.replace("+", r"\+").replace(".", r"\.") for k in FEATURES), key=lambda k: (-len(k), k)))
+    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?<![0-9a-zа-яё])({names})(?![0-9a-zа-яё])"), F.lit(1))
+    return F.transform(found, lambda x: F.struct(x.alias("text"), known[x]["attr_type"].alias("attr_type"), known[x]["value"].alias("value")))
+
+
+def catalog_values(queries: DataFrame, key: str, query: str, category: str, values: DataFrame, longest: int = 3) -> DataFrame:
+    """(key, attr_type, value, start, end): spans of a query that are values of an attribute of its category. ``values`` has category, attr_type, value."""
+    from quern.operators.match import ngrams
+
+    spans = ngrams(queries, key, query, longest).join(queries.select(key, F.col(category).alias("category")), key)
+    known = values.filter(attribute_name_ok(F.col("attr_type"))).select("category", "attr_type", "value", F.lower("value").alias("phrase")).distinct()
+    return spans.join(known, ["category", "phrase"]).select(key, "attr_type", "value", "start", "end")
+
+
+def gold_sample(examples: DataFrame, query: str, weight: str, text: str, spans: str, n: int, seed: int = 42) -> DataFrame:
+    """A weighted sample of ``n`` distinct queries with tokens and the tags of their spans by owner, for review."""
+    from quern.functions.text import tokens
+    from quern.operators.match import owner_tags
+    from quern.operators.sampling import weighted_sample
+
+    made = weighted_sample(examples, query, weight, n, seed).withColumn("tokens", tokens(F.col(text)))
+    return made.withColumn("tags", owner_tags(F.col("tokens"), F.col(spans)))

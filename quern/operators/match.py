@@ -23,31 +23,50 @@ def usable(dictionary: DataFrame) -> DataFrame:
     return dictionary.filter(F.col("pattern").rlike(r"\p{L}") & ((F.length("pattern") > 1) | F.col("pattern").contains(" ")))
 
 
-def ngrams(texts: DataFrame, key: str, text: str, longest: int) -> DataFrame:
-    """(key, phrase, start, end, token_start, token_end) of every run of 1..longest tokens."""
-    tokened = texts.select(key, F.col(text).alias("_text"), tokens(F.col(text)).alias("t")).filter(F.size("t") > 0)
-    at = tokened.select(key, "_text", "t", F.explode(F.sequence(F.lit(1), F.size("t"))).alias("i"))
-    runs = at.select(key, "_text", "t", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("t") - F.col("i") + 1))).alias("n"))
-    part = F.slice("t", F.col("i"), F.col("n"))
-    return runs.select(
-        key,
-        F.array_join(F.transform(part, lambda x: x["text"]), " ").alias("phrase"),
-        F.col("t")[F.col("i") - 1]["start"].alias("start"),
-        F.col("t")[F.col("i") + F.col("n") - 2]["end"].alias("end"),
-        (F.col("i") - 1).alias("token_start"),
-        (F.col("i") + F.col("n") - 1).alias("token_end"),
-        F.substring(F.col("_text"), F.col("t")[F.col("i") - 1]["start"] + 1, F.col("t")[F.col("i") + F.col("n") - 2]["end"] - F.col("t")[F.col("i") - 1]["start"]).alias("surface"),
-    )
+def lemma_tokens(texts: DataFrame, key: str, text: str, lemmas: DataFrame | None) -> DataFrame:
+    """(key, t): the tokens of each text with their lemma, from ``lemmas`` (token, lemma), else the token itself."""
+    plain = texts.select(key, tokens(F.col(text)).alias("t")).filter(F.size("t") > 0)
+    if lemmas is None:
+        return plain
+    known = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
+    each = plain.select(key, F.posexplode("t").alias("pos", "x")).join(known, F.col("x.text") == F.col("token"), "left")
+    made = F.struct("pos", F.col("x.text").alias("text"), F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.coalesce("lemma", "x.text").alias("lemma"))
+    return each.groupBy(key).agg(F.array_sort(F.collect_list(made)).alias("t"))
+
+
+def ngrams(texts: DataFrame, key: str, text: str, longest: int, lemmas: DataFrame | None = None) -> DataFrame:
+    """(key, phrase, start, end, token_start, token_end) of every run of 1..longest tokens, by surface and, where ``lemmas`` are given, by lemma.
+
+    Runs are made inside one array, so only narrow rows are exploded.
+    """
+    t = F.col("t")
+
+    def run(i: Column, n: Column) -> Column:
+        first, last, part = F.element_at(t, i), F.element_at(t, i + n - 1), F.slice(t, i, n)
+        join = lambda name: F.array_join(F.transform(part, lambda x: x[name]), " ")
+        phrases = F.array(join("text")) if lemmas is None else F.array_distinct(F.array(join("text"), join("lemma")))
+        return F.struct(phrases.alias("phrases"), first["start"].alias("start"), last["end"].alias("end"), (i - 1).alias("token_start"), (i + n - 1).alias("token_end"))
+
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size(t) - i + 1)), lambda n: run(i, n))))
+    each = lemma_tokens(texts, key, text, lemmas).select(key, F.explode(runs).alias("r")).select(key, F.explode("r.phrases").alias("phrase"), "r.start", "r.end", "r.token_start", "r.token_end")
+    return each
+
+
+def with_surface(spans: DataFrame, texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Spans with the part of the text that they cover, fetched for rows with a span only."""
+    return spans.join(texts.select(key, F.col(text).alias("_text")), key).withColumn("surface", F.substring(F.col("_text"), F.col("start") + 1, F.col("end") - F.col("start"))).drop("_text")
 
 
-def dictionary_matches(texts: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int) -> DataFrame:
+def dictionary_matches(texts: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int, lemmas: DataFrame | None = None) -> DataFrame:
     """Every span of a dictionary pattern, one row per span and type, with its best entry and whether it is ambiguous.
 
+    With ``lemmas`` (token, lemma) a span matches by its surface tokens or by their lemmas; entries of both count together.
+
     A span whose entries have several canonical values is ambiguous and has confidence 0. Else confidence is 0.98 for brands, 0.96 for curated aliases,
     0.92 for several entries of one value and 0.94 otherwise; the entry with the highest count, then the smallest canonical, stands.
     """
-    met = ngrams(texts, key, text, longest).join(usable(dictionary), F.col("phrase") == F.col("pattern"))
-    spans = met.groupBy(key, "entity_type", "start", "end", "token_start", "token_end", "surface").agg(
+    met = ngrams(texts, key, text, longest, lemmas).join(usable(dictionary), F.col("phrase") == F.col("pattern"))
+    spans = met.groupBy(key, "entity_type", "start", "end", "token_start", "token_end").agg(
         F.count_distinct("entity_id", "canonical").alias("n_entries"),
         F.count_distinct(F.translate(F.lower("canonical"), "ё", "е")).alias("n_values"),
         F.min(F.struct((-F.col("count")).alias("c"), "canonical", "entity_id")).alias("best"),
@@ -55,7 +74,7 @@ def dictionary_matches(texts: DataFrame, key: str, text: str, dictionary: DataFr
     )
     certain = F.when(F.col("entity_type") == "brand", 0.98).when(F.col("curated").isNotNull(), 0.96).when(F.col("n_entries") > 1, 0.92).otherwise(0.94)
     ambiguous = F.col("n_values") > 1
-    return spans.select(
+    return with_surface(spans, texts, key, text).select(
         key, F.col("entity_type").alias("type"), F.col("best.canonical").alias("value"), F.col("best.entity_id").alias("entity_id"), "surface", "start", "end", "token_start", "token_end",
         ambiguous.alias("ambiguous"), F.when(ambiguous, 0.0).otherwise(certain).alias("confidence"), F.coalesce("curated", F.concat(F.lit("catalog_"), "entity_type", F.lit("_trie"))).alias("source"),
     )
@@ -111,6 +130,30 @@ def bio(tokened: Column, spans: Column) -> tuple[Column, Column]:
     return F.transform(tokened, tag), F.transform(tokened, lambda t: F.size(owner(t)) > 0)
 
 
+#: Which type owns a token.
+OWNERS = {"BRAND": 0, "CATEGORY": 1, "ATTR": 2}
+
+
+def owner_tags(tokened: Column, spans: Column) -> Column:
+    """BIO tags by owner: each token belongs to the span over it whose type comes first in OWNERS, then the longest, then the first; a run of
+    tokens of one span begins with B-."""
+    rank = F.create_map(*[x for k, v in OWNERS.items() for x in (F.lit(k), F.lit(v))])
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(F.coalesce(F.try_element_at(rank, s["type"]), F.lit(len(OWNERS))).alias("a"), (s["start"] - s["end"]).alias("b"), s["start"].alias("start"), s["end"].alias("end"), s["type"].alias("type"))))
+    owners = F.transform(tokened, lambda t: F.try_element_at(F.filter(ordered, lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"])), F.lit(1)))
+    return F.transform(F.array(owners), lambda o: F.transform(o, lambda x, i: F.when(x.isNull(), "O").otherwise(F.concat(F.when((i > 0) & F.get(o, i - 1).eqNullSafe(x), "I-").otherwise("B-"), x["type"]))))[0]
+
+
+def find_run(inside: Column, run: Column) -> Column:
+    """Index from 0 of the first place where the array ``run`` stands in ``inside`` as a run of neighbours; -1 if nowhere or if it is empty."""
+    last = F.size(inside) - F.size(run)
+    places = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (last >= 0) & (F.size(run) > 0) & (F.slice(inside, i + 1, F.greatest(F.size(run), F.lit(1))) == run))
+    return F.coalesce(F.try_element_at(places, F.lit(1)), F.lit(-1))
+
+
+def holds_run(inside: Column, run: Column) -> Column:
+    return find_run(inside, run) >= 0
+
+
 def fuzzy_limit(n: Column) -> Column:
     """Edits allowed for a surface of n characters."""
     return F.when(n <= 3, 0).when(n <= 6, 1).otherwise(2)

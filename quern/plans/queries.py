@@ -580,3 +580,6 @@ def brand_literal(s, d):
 def flagship(s, d) -> DataFrame:
     """Click evidence to dominant category, confidence and quality of each query."""
     return query_dataset(s, d)
+
+
+from quern.plans import corpus_queries  # noqa: E402, F401  registers its queries
