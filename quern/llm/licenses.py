@@ -21,40 +21,80 @@ from quern.llm.common import once, table
 MIN_REDUCTION = 0.25  # of the bytes of the block compressed alone
 MAX_DIFFERENT = 0.20  # of the template's words, missing or replaced
 
-CUE = re.compile(r"licen[cs]|copyright|spdx|creative[\W_]+commons|cc[\W_]+by|public[\W_]+domain|warranty|redistribut|permission[\W_]+is[\W_]+hereby|all[\W_]+rights[\W_]+reserved", re.I)
+CUE = re.compile(r"licen[cs]|copyright|spdx|creative[\W_]+commons|cc[\W_]+by|public[\W_]+domain|warranty|redistribut|permission[\W_]+is[\W_]+(?:hereby|granted)|permission[\W_]+to[\W_]+use|all[\W_]+rights[\W_]+reserved", re.I)
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s|\Z|[^\w\s])|(?=\n)|\Z)[^\w\s]*", re.S)
 WRAPPED = re.compile(r".*?(?:[.!?](?=\s|\Z|[^\w\s])|\Z)[^\w\s]*", re.S)  # a sentence over lines
 WORD = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
 
-#: Wordings of public licenses.
+#: Wordings of public licenses, notices as they stand in source files and documents.
 TEMPLATES = {
+    "0BSD": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
     ),
+    "Artistic-2.0": ("This program is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0.",),
+    "BSD-2-Clause": ("Licensed under the Simplified BSD License.", "This work is licensed under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-NC-ND-4.0": ("Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "CC-BY-NC-SA-4.0": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "CC-BY-SA-3.0": ("Licensed under CC BY-SA 3.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
+    "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "SPDX-License-Identifier: CC0-1.0"),
+    "CDDL-1.0": ("The contents of this file are subject to the terms of the Common Development and Distribution License (the License).",),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", "SPDX-License-Identifier: EPL-2.0"),
+    "EUPL-1.2": ("Licensed under the European Union Public Licence, version 1.2 (the Licence).",),
+    "GFDL-1.3": ("Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation.",),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "SPDX-License-Identifier: MIT",
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This file is licensed under the Mozilla Public License, version 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
+    ),
+    "OFL-1.1": ("This Font Software is licensed under the SIL Open Font License, Version 1.1.",),
+    "PSF-2.0": ("Licensed to the Python Software Foundation under a Contributor Agreement, and distributed under the Python Software Foundation License Version 2.",),
     "Proprietary": ("All rights reserved.",),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "WTFPL": ("This work is free. You can redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License, Version 2.",),
+    "Zlib": ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",),
 }
 
 

@@ -83,8 +83,9 @@ def _related(x: str, y: str, k: Column) -> Column:
 
 
 def _set(line: Column) -> Column:
-    """Distinct hashes of the runs of five characters."""
-    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), lambda b: F.transform(F.sequence(F.lit(0), F.greatest(F.octet_length(b) / 4 - RUN, F.lit(0)).cast("int")), lambda i: F.xxhash64(F.substring(b, i * 4 + 1, F.lit(4 * RUN)))))[0])
+    """The distinct runs of five characters, or the shorter line itself."""
+    runs = F.array_distinct(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{RUN}}}))"), F.lit(1)))
+    return F.when(F.length(line) < RUN, F.array(line)).otherwise(runs)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, places: DataFrame) -> DataFrame:

@@ -24,12 +24,13 @@ from quern.llm.common import table
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")  # LEAST characters
 SEPARATOR = re.compile(r"[=/_-]")  # characters of credentials that can also stand beside one
 BASE_KINDS = "assign", "access", "hex"
 
 LABELLED_PER_FORMAT = 200  # the documented bound on labelled credentials of each format
 ALPHA = 0.05  # confidence of the merge test
+LEAST = 16  # characters of a candidate
 MARGIN_BITS = 24.0  # a candidate is at least 2**24 times likelier as a credential than as ordinary text
 
 #: Character classes, smallest first. A format's symbols are the smallest class that covers its letters and digits, other characters as
@@ -58,7 +59,6 @@ def labelled_credentials(per_format: int = LABELLED_PER_FORMAT, seed: int = 7) -
         "base64_key": lambda: some(base64, r.choice((40, 43))) + r.choice(("", "=")),
         "prefixed": lambda: r.choice(("ghp_", "gho_")) + some(word, 36),
         "service_key": lambda: r.choice(("sk_live_", "sk_test_")) + some(word, 24),
-        "uuid": lambda: "-".join(some(hexa, n) for n in (8, 4, 4, 4, 12)),
         "upper_digest": lambda: some(hexa.upper(), r.choice((32, 40, 64))),
     }
     return {name: [shape() for _ in range(per_format)] for name, shape in shapes.items()}
@@ -159,7 +159,6 @@ class Automaton:
             at = self.next[at][s]
         return total + math.log2(self.count[at] / self.final[at]) if self.final[at] else math.inf
 
-
     def ends(self, text: str, start: int, stops: set[int]) -> list[tuple[int, float]]:
         """(end, bits) of the texts from ``start`` to one of ``stops`` for which the automaton has a path."""
         at, total, out = 0, 0.0, []
@@ -194,7 +193,7 @@ def best_parts(automata: dict[str, Automaton], run: str, margin: float, taken: l
         ordinary.append(ordinary[-1] + ORDINARY_BITS[c])
     spots = [m.start() for m in SEPARATOR.finditer(run)]
     edges = {0, len(run), *spots, *(i + 1 for i in spots)}
-    scored = [(ordinary[end] - ordinary[start] - bits, start, end, name) for start in edges for name, a in automata.items() for end, bits in a.ends(run, start, edges)]
+    scored = [(ordinary[end] - ordinary[start] - bits, start, end, name) for start in edges for name, a in automata.items() for end, bits in a.ends(run, start, edges) if end - start >= LEAST]
     out: list[tuple[int, int, str]] = []
     for _, start, end, name in sorted((x for x in scored if x[0] >= margin), key=lambda x: (-x[0], x[1], -x[2], x[3])):
         if not any(s < end and start < e for s, e in [*taken, *((s, e) for s, e, _ in out)]):
@@ -217,8 +216,6 @@ def scan(text: str | None, automata: dict[str, Automaton], margin: float = MARGI
     joined = ",".join(f"{BASE_KINDS[k]}:{s}:{e}" for s, k, e in base)
     added = []
     for m in CANDIDATE.finditer(text):
-        if m[0].isalpha() and m[0].islower():  # a plain word: no format but hex, which the base has, is likelier than text
-            continue
         taken = [(s - m.start(), e - m.start()) for s, _, e in base if s < m.end() and m.start() < e]
         added += [(m.start() + s, 3, m.start() + e, f"format_{name}") for s, e, name in best_parts(automata, m[0], margin, taken)]
     spans = ",".join(f"{x[3] if x[1] == 3 else BASE_KINDS[x[1]]}:{x[0]}:{x[2]}" for x in sorted([*base, *added]))

@@ -122,6 +122,6 @@ def test_secrets_beside_separators():
                 assert f"hex:{at}:{at + len(value)}" in spans
             else:
                 assert f"format_{name}:{at}:{at + len(value)}" in spans, (left, value, right, spans)
-    two = f"{made['prefixed']}/{made['uuid']}"
+    two = f"{made['prefixed']}/{made['service_key']}"
     assert secrets.scan(two, automata)[3] == 2
     assert not secrets.scan("https/www-example-org/some-long-path/with_many-parts=and_values/ReadMe-2024_final", automata)[5]

@@ -290,6 +290,29 @@ def test_licenses(spark, docs, none):
     assert licenses.license_scan(docs).count() == 0 and licenses.license_scan(none).count() == 0
 
 
+def test_licenses_tell_relatives_apart(spark):
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            found = licenses.scan(f"Some words before.\n\n{text}\n\nSome words after.", scanner)
+            same = {k for k, v in licenses.TEMPLATES.items() if text in v}
+            assert [x[0] for x in found] and {x[0] for x in found} <= same, (name, text, found)
+
+
+def test_secrets_leave_ordinary_runs_alone():
+    """Held-out negatives, and credentials in KEY=…, URL and JSON forms."""
+    r = random.Random(17)
+    automata = secrets.infer(secrets.labelled_credentials())
+    hexa = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    plain = [lambda: "-".join(hexa(n) for n in (8, 4, 4, 4, 12)), lambda: "_".join(sentence(r, 4).split()), lambda: "/".join(sentence(r, 5).split()) + "/index-2024_01.html", lambda: "".join(w.title() for w in sentence(r, 6).split()), lambda: sentence(r, 9).replace(" ", "")]
+    wrong = sum(secrets.scan(f"see {make()} there", automata)[3] > 0 for make in plain for _ in range(100))
+    assert wrong <= 5
+    held = [v for name, values in secrets.labelled_credentials(40, seed=99).items() if name != "digest" for v in values]
+    forms = ("GITHUB={}", "https://h/x/{}", '{{"k": "{}"}}', "run-{}")
+    right = sum(sum(secrets.scan(f.format(v), automata)[:4]) > 0 for v in held for f in forms)  # the base has some of the access ids
+    assert right >= 0.9 * len(held) * len(forms)
+
+
 def line_set(line: str) -> set[str]:
     return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
 
