@@ -19,7 +19,8 @@ from quern.llm.common import WordHashes, binary, holds, table, windows, word_has
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MAX_COVERED = 0.20  # of the characters in words
+LEAST = 3  # words of a repeat; shorter than the base's windows, so phrases that the base can't see count as well
+MAX_COVERED = 0.15  # of the characters in words
 MAX_LONGEST = 50, 0.10  # words, and fraction of all words; a longest repeat beyond both fails
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, covered_fraction double, longest_repeat long, n_maximal_repeats long, kept boolean"
@@ -73,7 +74,7 @@ def lcp_intervals(order: np.ndarray, lcp: np.ndarray, ids: np.ndarray, least: in
     return found
 
 
-def repetition(h: np.ndarray, chars: np.ndarray, least: int = WINDOW) -> tuple[float, int, int]:
+def repetition(h: np.ndarray, chars: np.ndarray, least: int = LEAST) -> tuple[float, int, int]:
     """Covered fraction of the characters, longest repeat in words, number of maximal repeats."""
     ids = np.unique(h, return_inverse=True)[1]
     order, lcp = suffix_array(ids)
@@ -111,7 +112,7 @@ def measure(cache: WordHashes, raw: bytes | None) -> tuple:
             repeated = int((np.cumsum(edge[:-1]) > 0).sum())
     failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
     covered, longest, intervals = 0.0, 0, 0
-    if repeated:  # without a repeated window no repeat of that many words exists
+    if n > LEAST and len(np.unique(windows(h, LEAST))) < n - LEAST + 1:  # without a repeated window no repeat of that many words exists
         chars = np.fromiter((len(w.decode("utf-8", "replace")) for w in words), dtype=np.int64, count=n)
         covered, longest, intervals = repetition(h, chars)
     good = covered <= MAX_COVERED and longest <= max(MAX_LONGEST[0], MAX_LONGEST[1] * n)

@@ -290,6 +290,21 @@ def test_licenses(spark, docs, none):
     assert licenses.license_scan(docs).count() == 0 and licenses.license_scan(none).count() == 0
 
 
+def test_repetition_by_brute_force(spark):
+    r = random.Random(23)
+    texts = [" ".join(r.choice("ab cd ef gh ij kl".split()) for _ in range(r.randint(0, 40))) for _ in range(60)] + [sentence(r, 200), sentence(r, 40) + " " + "one two three " * 3, "a b c . a b c , a b c ! a b c ? a b c", ""]
+    got = {x["doc_id"]: x for x in quality.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        w = text.split()
+        count = lambda k: collections.Counter(tuple(w[j : j + k]) for j in range(len(w) - k + 1))  # noqa: E731, B023
+        threes = count(3)
+        covered = {j + d for j in range(len(w) - 2) if threes[tuple(w[j : j + 3])] > 1 for d in range(3)}
+        share = sum(len(w[j]) for j in covered) / max(1, sum(map(len, w)))
+        longest = next((k for k in range(len(w) - 1, 2, -1) if max(count(k).values()) > 1), 0)
+        assert abs(got[i]["covered_fraction"] - share) < 1e-9 and got[i]["longest_repeat"] == longest
+        assert got[i]["kept"] == (not got[i]["base_failed"] and share <= 0.15 and longest <= max(50, 0.1 * len(w)))
+
+
 def test_licenses_tell_relatives_apart(spark):
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, texts in licenses.TEMPLATES.items():
