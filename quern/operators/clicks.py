@@ -65,23 +65,23 @@ def no_click_queries(clicks: DataFrame, mapping: DataFrame, policy: ClickPolicy
     )
     if keep_variant_filter:
         variants = variants.filter("no_click_row_count > 0")
-    out = variants.groupBy("query_canonical").agg(
-        first_five("query_original").alias("query_original_examples"),
-        first_five("query_normalized").alias("query_normalized_variants"),
-        F.sum("no_click_row_count").alias("no_click_row_count"),
-        F.sum("positive_row_count").alias("positive_row_count"),
-    )
+    out = variants.groupBy("query_canonical").agg(F.sum("no_click_row_count").alias("no_click_row_count"), F.sum("positive_row_count").alias("positive_row_count"))
+    out = first_five(variants, "query_original", "query_original_examples").join(first_five(variants, "query_normalized", "query_normalized_variants"), "query_canonical").join(out, "query_canonical")
     return out.filter("no_click_row_count > 0").withColumn("has_positive_click", F.col("positive_row_count") > 0)
 
 
-def first_five(column: str) -> Column:
-    return F.slice(F.sort_array(F.collect_set(column)), 1, 5)
+def first_five(rows: DataFrame, column: str, name: str, key: str = "query_canonical") -> DataFrame:
+    """(key, name): the five smallest distinct values of ``column``; ranks are limited before anything is collected."""
+    ranked = rows.select(key, column).distinct().withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.col(column).asc_nulls_last()))).filter("_r <= 5")
+    return ranked.groupBy(key).agg(F.array_sort(F.collect_list(column)).alias(name))
 
 
-def top_items(k: int = 10) -> Column:
-    """Ids of the best items by evidence, clicks, id; an item-list of a query is bounded by its distinct items."""
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("evidence_score")).alias("a"), (-F.col("click_count")).alias("b"), F.col("sku_id").alias("id"))))
-    return F.slice(F.transform(ranked, lambda x: x["id"].cast("string")), 1, k)
+def top_items(pairs: DataFrame, name: str, k: int = 10) -> DataFrame:
+    """(query_canonical, name): ids of the k best items by evidence, clicks, id."""
+    order = Window.partitionBy("query_canonical").orderBy(F.col("evidence_score").desc(), F.col("click_count").desc(), "sku_id")
+    ranked = pairs.select("query_canonical", "sku_id", "evidence_score", "click_count").withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
+    listed = F.array_sort(F.collect_list(F.struct("_r", F.col("sku_id").cast("string").alias("id"))))
+    return ranked.groupBy("query_canonical").agg(F.transform(listed, lambda x: x["id"]).alias(name))
 
 
 def confidence(score: Column, total: Column) -> Column:
@@ -107,13 +107,13 @@ def query_dataset(pairs: DataFrame, mapping: DataFrame, no_click: DataFrame, thr
     ``pairs`` is read three times; persist or store it first on large inputs.
     """
     totals = pairs.groupBy("query_canonical").agg(
-        F.sum("click_count").alias("click_count"), F.count(F.lit(1)).alias("unique_sku_count"), F.round(F.sum("evidence_score"), SCORE_DIGITS).alias("total_evidence_score"), top_items().alias("top_skus")
-    )
+        F.sum("click_count").alias("click_count"), F.count(F.lit(1)).alias("unique_sku_count"), F.round(F.sum("evidence_score"), SCORE_DIGITS).alias("total_evidence_score")
+    ).join(top_items(pairs, "top_skus"), "query_canonical")
     category = top_label(pairs, "category_id", "category_score", {"dominant_category": "category_name", "category_path": "category_path"}).withColumnRenamed("category_id", "dominant_category_id")
     brand = top_label(pairs, "brand", "brand_score").withColumnRenamed("brand", "dominant_brand")
-    variants = mapping.filter("query_canonical <> ''").groupBy("query_canonical").agg(
-        first_five("query_original").alias("query_original_examples"), first_five("query_normalized").alias("query_normalized_variants"), *[F.bool_or(c).alias(c) for c in FLAGS]
-    )
+    named = mapping.filter("query_canonical <> ''")
+    variants = named.groupBy("query_canonical").agg(*[F.bool_or(c).alias(c) for c in FLAGS])
+    variants = variants.join(first_five(named, "query_original", "query_original_examples"), "query_canonical").join(first_five(named, "query_normalized", "query_normalized_variants"), "query_canonical")
     joined = totals.join(variants, "query_canonical").join(category, "query_canonical", "left").join(brand, "query_canonical", "left").join(no_click.select("query_canonical", "no_click_row_count"), "query_canonical", "left")
     text = F.col("query_canonical")
     sized = joined.withColumns({

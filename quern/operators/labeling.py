@@ -19,12 +19,12 @@ DIAGONAL_CATEGORIES = ("Телевизоры", "Планшеты", "Ноутбу
 NUMBER_UNIT = r"(?<![0-9a-zа-яё])(\d+(?:[.,]\d+)?)\s*(гб|gb|тб|tb|дюймов|дюйма|дюйм|см|мм|герц|гц|hz|мач|mah|литров|литра|литр|л|квт|вт)(?![0-9a-zа-яё])"
 
 
-def click_labels(clicks: DataFrame, query: str, category: str, brand: str, categories: list[str], min_rows: int = 5, threshold: float = 0.9) -> DataFrame:
-    """Queries with ``min_rows`` rows or more whose category is pure enough and listed; the brand only where pure as well, and whether the query holds it."""
+def click_labels(clicks: DataFrame, query: str, category: str, brand: str, categories: DataFrame, min_rows: int = 5, threshold: float = 0.9) -> DataFrame:
+    """Queries with ``min_rows`` rows or more whose category is pure enough and listed in ``categories`` (category_label); the brand only where pure as well, and whether the query holds it."""
     sizes = clicks.groupBy(query).agg(F.count(F.lit(1)).alias("n_clicks")).filter(F.col("n_clicks") >= min_rows)
     c = purity(clicks, query, category, 1).select(query, F.col("top_label").alias("category_label"), F.col("purity").alias("category_purity"))
     b = purity(clicks, query, brand, 1).select(query, F.col("top_label").alias("brand_label"), F.col("purity").alias("brand_purity"))
-    joined = sizes.join(c, query).filter((F.col("category_purity") >= threshold) & F.col("category_label").isin(categories)).join(b, query, "left")
+    joined = sizes.join(c, query).filter(F.col("category_purity") >= threshold).join(categories, "category_label", "left_semi").join(b, query, "left")
     sure = F.col("brand_purity") >= threshold
     return joined.withColumns({"brand_label": F.when(sure, F.col("brand_label")), "brand_purity": F.when(sure, F.col("brand_purity"))}).withColumn("brand_literal_match", F.coalesce(F.contains(F.lower(query), F.lower("brand_label")), F.lit(False)))
 

@@ -369,7 +369,7 @@ def bare_numbers(s, d):
     SELECT z.q, n_clicks, cl.label AS category_label, round(cl.p, 6) AS category_purity, CASE WHEN bl.p >= 0.6 THEN bl.label END AS brand_label, CASE WHEN bl.p >= 0.6 THEN round(bl.p, 6) END AS brand_purity FROM z JOIN cl USING (q) JOIN bl USING (q) WHERE round(cl.p, 6) >= 0.6""")
 def click_labels(s, d):
     rows = table(s, d, "lineitem").join(table(s, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("q"), "p_type", "p_brand")
-    kinds = [r[0] for r in table(s, d, "part").select("p_type").distinct().collect()]
+    kinds = table(s, d, "part").select(F.col("p_type").alias("category_label")).distinct()
     return lb.click_labels(rows.withColumn("q", F.col("q").cast("string")), "q", "p_type", "p_brand", kinds, 3, 0.6).select(F.col("q").cast("long").alias("q"), "n_clicks", "category_label", "category_purity", "brand_label", "brand_purity")
 
 
@@ -517,8 +517,8 @@ def shards(s, d):
 
 @query("q_topk_list", "SELECT o_custkey, array_to_string(list_slice(list(CAST(o_orderkey AS VARCHAR) ORDER BY o_totalprice DESC, o_orderkey), 1, 10), ',') AS top_orders FROM orders GROUP BY 1")
 def topk_list(s, d):
-    rows = table(s, d, "orders").select("o_custkey", F.col("o_totalprice").alias("evidence_score"), F.lit(0).alias("click_count"), F.col("o_orderkey").alias("sku_id"))
-    return rows.groupBy("o_custkey").agg(F.array_join(ck.top_items(), ",").alias("top_orders"))
+    rows = table(s, d, "orders").select(F.col("o_custkey").alias("query_canonical"), F.col("o_totalprice").alias("evidence_score"), F.lit(0).alias("click_count"), F.col("o_orderkey").alias("sku_id"))
+    return ck.top_items(rows, "top").select(F.col("query_canonical").alias("o_custkey"), F.array_join("top", ",").alias("top_orders"))
 
 
 @query("q_window_share", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / nullif(sum(l_extendedprice) OVER (PARTITION BY l_orderkey), 0), 6) AS share FROM lineitem")
