@@ -3,13 +3,13 @@
 Two lines are alike if the sets of their runs of five characters, at every offset, have a Jaccard similarity of 0.8; a shorter line is its
 own only run. Signatures are MinHash samples: of the hashes of a line's runs of sixteen characters, at every offset, those below a bound
 that leaves SAMPLE of them on average, and each is a band key. Long runs tell lines apart that share common words, and lines at
-similarity 0.8 still share about two thirds of theirs, so few of them share less than SHARED percent of their keys. Lines below SHORT characters,
+similarity 0.8 still share about two thirds of theirs, so they share no key with a probability of 0.2 %. Lines below SHORT characters,
 or that repeat themselves, also have keys of three neighbours among the least hashes of their runs of five.
 
-Candidates share SHARED percent of their keys, or one of the latter kind. Each line is tried against one line of each key first; lines of a key that then lie
-in different components are compared inside a join that only candidates leave. Candidates are id pairs; the lines themselves are fetched
-once the pairs are distinct, and decided by exact Jaccard similarity. Components come from star contraction, and the first line of each
-component in (id, hash of the text, position) order is kept.
+Each line is tried against one line of each key first; lines of a key that then lie in different components meet inside a join. Only pairs
+leave it whose bitmaps of runs allow the similarity; that test never drops a pair that is alike. Candidates are id pairs; the lines
+themselves are fetched once the pairs are distinct, and decided by exact Jaccard similarity. Components come from star contraction, and
+the first line of each component in (id, hash of the text, position) order is kept.
 
 Texts are split in one pass that leaves a lean table: a row for each key, with the place of its line. Key rows hold two longs. Copies of
 a frequent line are dropped before the keys are dealt, by a broadcast of at most FREQUENT rows whatever the input.
@@ -25,12 +25,12 @@ from quern.llm.components import components
 
 RUN, LONG = 5, 16  # characters of a run for similarity, and for keys
 SHORT = 40  # characters below which a line has keys of short runs; from LONG * 2 it has keys of long ones as well
-SAMPLE, REPEATING = 14, 64  # keys of a line, on average; of one that repeats itself
-SHARED = 15  # percent of the keys of either that a pair must share; at similarity 0.8 it shares about 48, and fewer than 15 with a probability of 0.1 %
+SAMPLE, REPEATING = 10, 48  # keys of a line, on average; of one that repeats itself
+SHARED = 15  # percent of the keys of either that a pair with the leader of a key shares to be decided at once; others are tried with the rest
 NEIGHBOURS = 18  # least hashes of short runs, of which each three neighbours are a key
 FREQUENT = 200_000  # rows of the table of frequent lines
 WORDS = 1 << 18  # 64-bit words of the bitmap of keys that several lines have; when full it lets more rows through, never fewer
-LENGTHS = 40  # percent: least ratio of the lengths of two lines that tell no repetition; their sets differ less
+BITMAP = 16  # 64-bit words of the bitmap of a line's runs of five
 BLANK = " \t\r\x0b\x0c"
 HALF = 1 << 63
 
@@ -83,9 +83,9 @@ def _related(x: str, y: str, k: Column) -> Column:
 
 
 def _set(line: Column) -> Column:
-    """The distinct runs of five characters, or the shorter line itself."""
-    runs = F.array_distinct(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{RUN}}}))"), F.lit(1)))
-    return F.when(F.length(line) < RUN, F.array(line)).otherwise(runs)
+    """Distinct hashes of the runs of five characters, or of the shorter line itself."""
+    starts = lambda b: F.sequence(F.lit(1), F.greatest(F.octet_length(b) - (4 * RUN - 1), F.lit(1)).cast("int"), F.lit(4))
+    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), lambda b: F.transform(starts(b), lambda i: F.xxhash64(F.substring(b, i, F.lit(4 * RUN)))))[0])
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, places: DataFrame) -> DataFrame:
@@ -107,18 +107,43 @@ class _Checker:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, spots: DataFrame, percent: int):
         self.source, self.spots, self.percent, self.held = (docs, id_col, text_col), spots, percent, None
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are alike."""
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    def fetch(self, ids: DataFrame) -> DataFrame:
+        """(id, line) of ``ids``, and of those fetched before."""
         new = ids if self.held is None else ids.join(self.held, "id", "left_anti")
         got = stored(_texts(*self.source, self.spots.join(new, "id", "left_semi").select("id", "at")), "lines")
         self.held = got if self.held is None else self.held.union(got)
-        both = pairs.join(self.held.toDF("a", "x"), "a").join(self.held.toDF("b", "y"), "b").select("a", "b", _set(F.col("x")).alias("x"), _set(F.col("y")).alias("y"))
+        return self.held
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are alike."""
+        lines = self.fetch(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+        both = pairs.join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b").select("a", "b", _set(F.col("x")).alias("x"), _set(F.col("y")).alias("y"))
         fit = F.least(F.size("x"), F.size("y")) * 100 >= F.greatest(F.size("x"), F.size("y")) * self.percent
         same = F.size(F.array_intersect("x", "y"))
         return cut(both.filter(fit).filter(same * 100 >= (F.size("x") + F.size("y") - same) * self.percent).select("a", "b"))
 
 
+def _bitmaps(lines: DataFrame) -> DataFrame:
+    """(id, runs, ones, b0 …): how many runs of five a line has, and a bitmap of their hashes. Stays in generated code, a run at a time."""
+    units = lines.select("id", F.encode("line", "UTF-16BE").alias("b"))
+    runs = F.greatest((F.octet_length("b") / 2).cast("int") - (RUN - 1), F.lit(1))
+    each = units.select("id", "b", runs.alias("runs")).select("id", "runs", "b", F.explode(F.sequence(F.lit(1), F.col("runs") * 2 - 1, F.lit(2))).alias("i"))
+    hashed = each.select("id", "runs", F.xxhash64(F.substring("b", F.col("i"), F.lit(2 * RUN))).alias("h"))
+    word, bit = F.col("h").bitwiseAND(BITMAP - 1), F.expr("shiftleft(1L, cast(shiftright(h, 8) & 63 AS int))")
+    made = hashed.groupBy("id").agg(F.max("runs").alias("runs"), *[F.coalesce(F.bit_or(F.when(word == j, bit)), F.lit(0).cast("long")).alias(f"b{j}") for j in range(BITMAP)])
+    return made.withColumn("ones", sum((F.bit_count(f"b{j}") for j in range(BITMAP)), F.lit(0)))
+
+
+def _possible(percent: int) -> Column:
+    """Whether x and y may be alike by their bitmaps; never false for lines that are.
+
+    A bit that one has alone stands for a run that it has alone, and a line has at least as many distinct runs as bits, at most as many as runs.
+    """
+    alone = sum((F.bit_count(F.col(f"x.b{j}").bitwiseXOR(F.col(f"y.b{j}"))) for j in range(BITMAP)), F.lit(0))
+    sizes = (F.col("x.runs") * 100 >= F.col("y.ones") * percent) & (F.col("y.runs") * 100 >= F.col("x.ones") * percent)
+    return sizes & (alone * (100 + percent) <= (F.col("x.runs") + F.col("y.runs")) * (100 - percent))
+
+
 def line_components(dealt: DataFrame, spots: DataFrame, checker: _Checker) -> DataFrame:
     """(id, component) of the lines that are like another. ``spots`` has id, the first place ``at``, the number n of each line."""
     total = spots.agg(F.sum("n")).first()[0] or 0
@@ -139,20 +164,16 @@ def line_components(dealt: DataFrame, spots: DataFrame, checker: _Checker) -> Da
     links = checker.links(tried)
     joined = cut(components(links, "a", "b"))
 
-    # lines of a key in different components, in a join that only candidates leave
+    # lines of a key in different components, in a join that only pairs leave whose bitmaps allow the similarity
     comp = F.coalesce("component", "id")
     placed = met.select("id", "key").join(joined, "id", "left").select("id", "key", comp.alias("comp"))
     apart = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    rest = placed.join(apart.hint("shuffle_hash"), "key")
-    bit = lambda shift: F.aggregate("keys", F.lit(0).cast("long"), lambda acc, k: acc.bitwiseOR(F.when(F.shiftright(k, 8).bitwiseAND(64) == shift, F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(k, 8).bitwiseAND(63).cast("int"))).otherwise(F.lit(0).cast("long"))))
-    sketch = keys.join(spots.select("id", "m"), "id").select("id", "m", bit(0).alias("m0"), bit(64).alias("m1"), "keys", "k")
-    live = rest.join(sketch, "id")
+    rest = cut(placed.join(apart.hint("shuffle_hash"), "key"))
+    ids = rest.select("id").distinct()
+    live = rest.join(cut(_bitmaps(checker.fetch(ids).join(ids, "id", "left_semi"))), "id")
     x, y = live.alias("x"), live.alias("y")
-    common = F.bit_count(F.col("x.m0").bitwiseAND(F.col("y.m0"))) + F.bit_count(F.col("x.m1").bitwiseAND(F.col("y.m1")))
-    sizes = (F.least("x.m", "y.m") < 0) | (F.least("x.m", "y.m") * 100 >= F.greatest("x.m", "y.m") * LENGTHS)
-    near = (common >= 2) | (F.least("x.k", "y.k") < 8) | (F.col("x.key").bitwiseAND(1) == 1)
-    met2 = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & sizes & near & _related("x.keys", "y.keys", F.col("x.k") + F.col("y.k"))
-    more = x.join(y, met2).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & _possible(checker.percent)
+    more = x.join(y, near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = cut(more.join(done, ["a", "b"], "left_anti"))
     if not more.take(1):
