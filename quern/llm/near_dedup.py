@@ -139,7 +139,7 @@ def full_sets(docs: DataFrame, text_col: str, shingle: int, wanted: DataFrame) -
             yield pa.RecordBatch.from_arrays([batch.column(1), items], names=["t", "items"])
 
     made = lean.mapInArrow(run, "t long, items array<long>")
-    made = stored(made.join(wanted, "t").select("id", "items").dropDuplicates(["id"]), "near-sets")
+    made = stored(made.join(wanted, "t").dropDuplicates(["t"]).select("id", "items"), "near-sets")  # a class has one t: dealt once
     if bits is not None:
         bits.destroy()
     return made
