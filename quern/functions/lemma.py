@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.lookup import held
+
 KEPT_WORDS = ("мини", "макси", "ультра")
 
 
@@ -20,16 +22,21 @@ def protected(token: Column) -> Column:
 def lemmatize(texts: DataFrame, column: str, table: DataFrame | None = None, brands: DataFrame | None = None, out: str = "lemma") -> DataFrame:
     """Adds ``out``. ``table`` has token, lemma; ``brands`` has token for single-word Cyrillic brands, which are kept too.
 
-    Work is done once per distinct text and token; the tables are joined, not looked up row by row.
+    A small table is looked up inside each row. With a larger one work is done once per distinct text and token, by joins that never
+    broadcast the texts: estimates of exploded texts are too low for that choice to be left open. A null text has a null lemma.
     """
     if table is None:
         return texts.withColumn(out, F.col(column))
     known = table if brands is None else table.join(brands, "token", "left_anti")
     known = known.filter(~protected(F.col("token"))).groupBy("token").agg(F.min("lemma").alias("lemma"))
+    found = held(known, "token", ["lemma"])
+    if found:
+        words = F.transform(F.split(column, " "), lambda t: F.coalesce(F.try_element_at(found(t), F.lit(1))["lemma"], t))
+        return texts.withColumn(out, F.translate(F.array_join(words, " "), "ё", "е"))
     distinct = texts.select(column).distinct()
     token = distinct.select(column, F.posexplode(F.split(column, " ")).alias("pos", "token"))
     lemma = token.join(known, "token", "left").groupBy(column).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("lemma", "token").alias("t")))), lambda x: x["t"]), " ").alias(out))
-    return texts.join(lemma.withColumn(out, F.translate(out, "ё", "е")), column)
+    return texts.join(lemma.withColumn(out, F.translate(out, "ё", "е")).hint("merge"), column, "left")
 
 
 def analyzer_table(tokens: DataFrame) -> DataFrame:

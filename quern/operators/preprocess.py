@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.lemma import lemmatize
+from quern.functions.lookup import per_text
 from quern.functions.text import model_text, stages
 from quern.operators.annotate import INTENTS, stopwords
 from quern.operators.measure import measurements
@@ -16,15 +17,17 @@ def preprocess(queries: DataFrame, text: str, lemmas: DataFrame | None = None, b
 
     ``lemmas`` (token, lemma) is met by distinct token, brands (token) are kept. A null text counts as empty.
     """
-    base = F.coalesce(F.col(text), F.lit(""))
-    named = stages(base)
-    rows = queries
-    for name in ("nfkc", "yo_equal_e", "lower", "separators", "spaces"):
-        rows = rows.withColumn(name, named[name])
-    rows = lemmatize(rows, "spaces", lemmas, brands)
-    stopped = stopwords(F.col("lemma"))
-    rows = rows.withColumns({"search_text": stopped["search_text"], "removed": stopped["removed"]} | {f"{n}_intent": stopped[f"{n}_intent"] for n in INTENTS})
-    return rows.withColumn("query_model", model_text(base)).withColumn("measurements", measurements(F.col("query_model"), F.coalesce(F.col(hint), F.lit("")) if hint else None))
+    def make(rows: DataFrame) -> DataFrame:
+        base = F.coalesce(F.col(text), F.lit(""))
+        named = stages(base)
+        for name in ("nfkc", "yo_equal_e", "lower", "separators", "spaces"):
+            rows = rows.withColumn(name, named[name])
+        rows = lemmatize(rows, "spaces", lemmas, brands)
+        stopped = stopwords(F.col("lemma"))
+        rows = rows.withColumns({"search_text": stopped["search_text"], "removed": stopped["removed"]} | {f"{n}_intent": stopped[f"{n}_intent"] for n in INTENTS})
+        return rows.withColumn("query_model", model_text(base)).withColumn("measurements", measurements(F.col("query_model"), F.coalesce(F.col(hint), F.lit("")) if hint else None))
+
+    return per_text(queries, [text, hint] if hint else [text], make)
 
 
 def change_counts(rows: DataFrame, text: str) -> DataFrame:

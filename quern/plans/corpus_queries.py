@@ -17,6 +17,7 @@ from quern.plans.fixtures import table
 from quern.plans.queries import query
 
 COPIES = 50
+TASK_TEXTS = 50_000  # generated texts of a task
 NOUNS = (("телевизор", "телевизоры"), ("пылесос", "пылесосы"), ("смартфон", "смартфоны"))
 
 #: The texts by k % 4, with one noun of three in the plural.
@@ -27,7 +28,9 @@ GENERATED = f"""g AS (SELECT p_partkey * {COPIES} + k AS id, k % 4 AS kind, spli
 
 
 def generated(s, d) -> DataFrame:
-    p = table(s, d, "part").select("p_partkey", F.split(F.lower("p_name"), " ").alias("w"), F.col("p_size").cast("string").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("k"))
+    """The texts, dealt over tasks by their number: the parts are a small file, which alone would be one task."""
+    part = table(s, d, "part").select("p_partkey", "p_name", "p_size")
+    p = part.repartition(max(1, part.count() * COPIES // TASK_TEXTS), "p_partkey").select("p_partkey", F.split(F.lower("p_name"), " ").alias("w"), F.col("p_size").cast("string").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("k"))
     noun = F.element_at(F.array(*[F.lit(many) for _, many in NOUNS]), (F.col("p_partkey") % 3 + 1).cast("int"))
     kind, w1, w2, size = F.col("k") % 4, F.col("w")[0], F.col("w")[1], F.col("size")
     text = F.when(kind == 0, F.concat(F.lit("Купить  "), F.upper(w1), F.lit(" "), noun, F.lit(" "), size, F.lit(" кг"))).when(kind == 1, F.concat(noun, F.lit("-"), w2, F.lit(", "), size, F.lit(" Вт")))
