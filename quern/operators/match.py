@@ -1,15 +1,18 @@
-"""Dictionary matching as an equi-join of token n-grams, span resolution by a fold, BIO tags.
+"""Dictionary matching by token n-grams, span resolution by a fold, BIO tags.
 
 A dictionary is a table (pattern, entity_type, entity_id, canonical, count, source), pattern being space-joined tokens. Texts become
-n-grams up to the longest pattern and are joined with it; the optimizer broadcasts the dictionary while it is small. One row never meets
-more candidates than its n-grams, so there is no range or cross join.
+n-grams up to the longest pattern. A small dictionary is looked up inside each row, so texts are neither exploded nor shuffled; a larger
+one is met by an equi-join. One row never meets more candidates than its n-grams, so there is no range or cross join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.lookup import held, let, per_text
 from quern.functions.text import tokens
 
 #: Which fact wins a token.
@@ -34,27 +37,83 @@ def lemma_tokens(texts: DataFrame, key: str, text: str, lemmas: DataFrame | None
     return each.groupBy(key).agg(F.array_sort(F.collect_list(made)).alias("t"))
 
 
-def ngrams(texts: DataFrame, key: str, text: str, longest: int, lemmas: DataFrame | None = None) -> DataFrame:
-    """(key, phrase, start, end, token_start, token_end) of every run of 1..longest tokens, by surface and, where ``lemmas`` are given, by lemma.
-
-    Runs are made inside one array, so only narrow rows are exploded.
-    """
-    t = F.col("t")
+def _runs(t: Column, longest: int, lemmas: bool) -> Column:
+    """(phrases, start, end, token_start, token_end) of every run of 1..longest tokens of an array that isn't empty."""
 
     def run(i: Column, n: Column) -> Column:
         first, last, part = F.element_at(t, i), F.element_at(t, i + n - 1), F.slice(t, i, n)
         join = lambda name: F.array_join(F.transform(part, lambda x: x[name]), " ")
-        phrases = F.array(join("text")) if lemmas is None else F.array_distinct(F.array(join("text"), join("lemma")))
+        phrases = F.array_distinct(F.array(join("text"), join("lemma"))) if lemmas else F.array(join("text"))
         return F.struct(phrases.alias("phrases"), first["start"].alias("start"), last["end"].alias("end"), (i - 1).alias("token_start"), (i + n - 1).alias("token_end"))
 
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size(t) - i + 1)), lambda n: run(i, n))))
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.size(t)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size(t) - i + 1)), lambda n: run(i, n))))
+
+
+def ngrams(texts: DataFrame, key: str, text: str, longest: int, lemmas: DataFrame | None = None) -> DataFrame:
+    """(key, phrase, start, end, token_start, token_end) of every run of 1..longest tokens, by surface and, where ``lemmas`` are given, by lemma.
+
+    Runs are made inside one array, so only narrow rows are exploded.
+    """
+    runs = _runs(F.col("t"), longest, lemmas is not None)
     each = lemma_tokens(texts, key, text, lemmas).select(key, F.explode(runs).alias("r")).select(key, F.explode("r.phrases").alias("phrase"), "r.start", "r.end", "r.token_start", "r.token_end")
     return each
 
 
+def matcher(dictionary: DataFrame, longest: int, lemmas: DataFrame | None = None) -> Callable[[Column], Column] | None:
+    """A function of a text that gives its spans as ``dictionary_matches`` describes them, in an array; None where a table is too large to be held.
+
+    With it a row is matched by itself, on a stream as well.
+    """
+    known = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma")) if lemmas is not None else None
+    lemma = held(known, "token", ["lemma"]) if known is not None else None
+    find = held(usable(dictionary), "pattern", ["entity_type", "entity_id", "canonical", "count", "source"]) if known is None or lemma else None
+    if find is None:
+        return None
+
+    def named(text: Column) -> Column:
+        if lemma is None:
+            return tokens(text)
+        return F.transform(tokens(text), lambda x: F.struct(x["text"].alias("text"), x["start"].alias("start"), x["end"].alias("end"), F.coalesce(F.try_element_at(lemma(x["text"]), F.lit(1))["lemma"], x["text"]).alias("lemma")))
+
+    def met(run: Column) -> Column:
+        entries = F.flatten(F.filter(F.transform(run["phrases"], find), lambda e: e.isNotNull()))
+        return F.struct(entries.alias("entries"), *[run[c].alias(c) for c in ("start", "end", "token_start", "token_end")])
+
+    def span(text: Column, m: Column, kind: Column) -> Column:
+        def of(e: Column) -> Column:
+            names = F.filter(e, lambda x: x["entity_id"].isNotNull() & x["canonical"].isNotNull())
+            n_entries = F.size(F.array_distinct(F.transform(names, lambda x: F.struct(x["entity_id"], x["canonical"]))))
+            values = F.transform(F.filter(e, lambda x: x["canonical"].isNotNull()), lambda x: F.translate(F.lower(x["canonical"]), "ё", "е"))
+            best = F.array_min(F.transform(e, lambda x: F.struct((-x["count"]).alias("c"), x["canonical"].alias("canonical"), x["entity_id"].alias("entity_id"))))
+            curated = F.array_min(F.filter(F.transform(e, lambda x: x["source"]), lambda x: x.startswith("curated_")))
+            surface = F.substring(text, m["start"] + 1, m["end"] - m["start"])
+            return F.struct(*_verdict(kind, n_entries, F.size(F.array_distinct(values)), best, curated, surface, *[m[c] for c in ("start", "end", "token_start", "token_end")]))
+
+        return let(F.filter(m["entries"], lambda x: x["entity_type"].eqNullSafe(kind)), of)
+
+    def spans(text: Column) -> Column:
+        def of(t: Column) -> Column:
+            hits = F.filter(F.transform(_runs(t, longest, lemma is not None), met), lambda m: F.size(m["entries"]) > 0)
+            return F.flatten(F.transform(hits, lambda m: F.transform(F.array_distinct(F.transform(m["entries"], lambda x: x["entity_type"])), lambda kind: span(text, m, kind))))
+
+        return let(named(text), lambda t: F.when(F.size(t) > 0, of(t)))
+
+    return spans
+
+
+def _verdict(kind: Column, n_entries: Column, n_values: Column, best: Column, curated: Column, surface: Column, *place: Column) -> list[Column]:
+    """The columns of a span by the entries it met."""
+    certain = F.when(kind == "brand", 0.98).when(curated.isNotNull(), 0.96).when(n_entries > 1, 0.92).otherwise(0.94)
+    ambiguous = n_values > 1
+    return [
+        kind.alias("type"), best["canonical"].alias("value"), best["entity_id"].alias("entity_id"), surface.alias("surface"), *[p.alias(c) for p, c in zip(place, ("start", "end", "token_start", "token_end"), strict=True)],
+        ambiguous.alias("ambiguous"), F.when(ambiguous, 0.0).otherwise(certain).alias("confidence"), F.coalesce(curated, F.concat(F.lit("catalog_"), kind, F.lit("_trie"))).alias("source"),
+    ]
+
+
 def with_surface(spans: DataFrame, texts: DataFrame, key: str, text: str) -> DataFrame:
-    """Spans with the part of the text that they cover, fetched for rows with a span only."""
-    return spans.join(texts.select(key, F.col(text).alias("_text")), key).withColumn("surface", F.substring(F.col("_text"), F.col("start") + 1, F.col("end") - F.col("start"))).drop("_text")
+    """Spans with the part of the text that they cover, fetched for rows with a span only; texts are never broadcast, whatever their estimate."""
+    return spans.join(texts.select(key, F.col(text).alias("_text")).hint("merge"), key).withColumn("surface", F.substring(F.col("_text"), F.col("start") + 1, F.col("end") - F.col("start"))).drop("_text")
 
 
 def dictionary_matches(texts: DataFrame, key: str, text: str, dictionary: DataFrame, longest: int, lemmas: DataFrame | None = None) -> DataFrame:
@@ -65,6 +124,11 @@ def dictionary_matches(texts: DataFrame, key: str, text: str, dictionary: DataFr
     A span whose entries have several canonical values is ambiguous and has confidence 0. Else confidence is 0.98 for brands, 0.96 for curated aliases,
     0.92 for several entries of one value and 0.94 otherwise; the entry with the highest count, then the smallest canonical, stands.
     """
+    spans_of = matcher(dictionary, longest, lemmas)
+    if spans_of:
+        rows = texts.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+        found = per_text(rows, ["_text"], lambda d: d.select("_text", spans_of(F.col("_text")).alias("_spans")).filter(F.size("_spans") > 0))
+        return found.select(F.col("_key").alias(key), F.explode("_spans").alias("_s")).select(key, "_s.*")
     met = ngrams(texts, key, text, longest, lemmas).join(usable(dictionary), F.col("phrase") == F.col("pattern"))
     spans = met.groupBy(key, "entity_type", "start", "end", "token_start", "token_end").agg(
         F.count_distinct("entity_id", "canonical").alias("n_entries"),
@@ -72,12 +136,8 @@ def dictionary_matches(texts: DataFrame, key: str, text: str, dictionary: DataFr
         F.min(F.struct((-F.col("count")).alias("c"), "canonical", "entity_id")).alias("best"),
         F.min(F.when(F.col("source").startswith("curated_"), F.col("source"))).alias("curated"),
     )
-    certain = F.when(F.col("entity_type") == "brand", 0.98).when(F.col("curated").isNotNull(), 0.96).when(F.col("n_entries") > 1, 0.92).otherwise(0.94)
-    ambiguous = F.col("n_values") > 1
-    return with_surface(spans, texts, key, text).select(
-        key, F.col("entity_type").alias("type"), F.col("best.canonical").alias("value"), F.col("best.entity_id").alias("entity_id"), "surface", "start", "end", "token_start", "token_end",
-        ambiguous.alias("ambiguous"), F.when(ambiguous, 0.0).otherwise(certain).alias("confidence"), F.coalesce("curated", F.concat(F.lit("catalog_"), "entity_type", F.lit("_trie"))).alias("source"),
-    )
+    columns = _verdict(*map(F.col, ("entity_type", "n_entries", "n_values", "best", "curated", "surface", "start", "end", "token_start", "token_end")))
+    return with_surface(spans, texts, key, text).select(key, *columns)
 
 
 def greedy(spans: Column, rank: list) -> tuple[Column, Column]:
