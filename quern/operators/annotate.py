@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.lookup import held, per_text
 from quern.functions.text import model_text, stages, tokens
 from quern.operators import match
 from quern.operators.colors import color_confidence
@@ -76,14 +77,30 @@ def annotate(queries: DataFrame, key: str, text: str, dictionary: DataFrame, lon
 
     ``dictionary`` has pattern, entity_type (brand, category, color), entity_id, canonical, count, source; ``key`` is unique per row. With ``lemmas`` (token, lemma) dictionary spans match by lemma as well.
     """
-    base = queries.filter(F.coalesce(F.length(text), F.lit(0)) <= MAX_CHARS).withColumn("query_model", model_text(F.coalesce(F.col(text), F.lit(""))))
+    short = queries.filter(F.coalesce(F.length(text), F.lit(0)) <= MAX_CHARS)
+    return per_text(short, [text, hint] if hint else [text], lambda rows: _annotated(rows, text, dictionary, longest, hint, brands, lemma, lemmas))
+
+
+def _annotated(texts: DataFrame, text: str, dictionary: DataFrame, longest: int, hint: str | None, brands: dict[str, int] | None, lemma, lemmas: DataFrame | None) -> DataFrame:
+    """The annotations of distinct texts, or of distinct texts and hints."""
+    base = texts.withColumn("query_model", model_text(F.coalesce(F.col(text), F.lit(""))))
     stopped = stopwords(stages(F.coalesce(F.col(text), F.lit("")), lemma)["lemma"])
-    met = match.dictionary_matches(base, key, "query_model", dictionary, longest, lemmas)
-    met = met.join(dictionary.filter("entity_type = 'color'").groupBy(F.col("pattern").alias("_p")).agg(F.max("count").alias("_count")), F.lower("surface") == F.col("_p"), "left")
-    confidence = F.when((F.col("type") == "color") & ~F.col("ambiguous"), color_confidence(F.coalesce("_count", F.lit(0)), F.lower("surface"))).otherwise(F.col("confidence"))
-    row = F.struct("type", "value", "surface", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), confidence.alias("confidence"), "source", "ambiguous", F.coalesce("_count", F.lit(0)).cast("long").alias("count"))
-    gathered = met.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("_m"))
-    rows = base.join(gathered, key, "left").withColumn("_m", F.coalesce("_m", F.array().cast("array<struct<type:string,value:string,surface:string,start:int,end:int,confidence:double,source:string,ambiguous:boolean,count:bigint>>")))
+    counted = dictionary.filter("entity_type = 'color'").groupBy(F.col("pattern").alias("_p")).agg(F.max("count").alias("_count"))
+    spans_of = match.matcher(dictionary, longest, lemmas)
+    count_of = held(counted, "_p", ["_count"]) if spans_of else None
+
+    def fact(s, count):
+        confidence = F.when((s("type") == "color") & ~s("ambiguous"), color_confidence(F.coalesce(count, F.lit(0)), F.lower(s("surface")))).otherwise(s("confidence"))
+        return F.struct(*[s(c).alias(c) for c in ("type", "value", "surface")], s("start").cast("int").alias("start"), s("end").cast("int").alias("end"), confidence.alias("confidence"), s("source").alias("source"), s("ambiguous").alias("ambiguous"), F.coalesce(count, F.lit(0)).cast("long").alias("count"))
+
+    none = F.array().cast("array<struct<type:string,value:string,surface:string,start:int,end:int,confidence:double,source:string,ambiguous:boolean,count:bigint>>")
+    if count_of:
+        made = F.transform(spans_of(F.col("query_model")), lambda s: fact(s.getField, F.try_element_at(count_of(F.lower(s["surface"])), F.lit(1))["_count"]))
+        rows = base.select("*", F.explode(F.array(F.coalesce(F.array_sort(made), none))).alias("_m"))  # a generator, so that the lambdas over it aren't merged with its own
+    else:
+        met = match.dictionary_matches(base.select(F.col(text).alias("_key"), "query_model").distinct(), "_key", "query_model", dictionary, longest, lemmas).join(counted, F.lower("surface") == F.col("_p"), "left")
+        gathered = met.groupBy("_key").agg(F.array_sort(F.collect_list(fact(F.col, F.col("_count")))).alias("_m"))
+        rows = base.join(gathered.hint("merge"), F.col(text) == F.col("_key"), "left").withColumn("_m", F.coalesce("_m", none))
     best = [lambda s: s["start"] - s["end"], lambda s: -s["confidence"], lambda s: s["start"]]
     of = lambda kind: F.filter("_m", lambda m: (m["type"] == kind) & ~m["ambiguous"])
     rows = rows.withColumns({"_brand": match.greedy(of("brand"), best)[0], "_category": match.greedy(of("category"), best)[0], "_allbrands": F.filter("_m", lambda m: m["type"] == "brand")})
@@ -112,5 +129,5 @@ def annotate(queries: DataFrame, key: str, text: str, dictionary: DataFrame, lon
         F.when(F.exists("_measured", lambda m: m["has_number"] & ~m["rejected"] & m["entity_type"].isNull() & (F.size(m["suggested"]) > 0)), "generic_measurement_requires_model_context"),
     ))
     return rows.withColumns({"bio_tags": tags, "bio_mask": mask, "rejected": rejected, "warnings": warnings} | stopped).select(
-        *queries.columns, "query_model", "search_text", "removed", *[f"{n}_intent" for n in INTENTS], "category_hint", "facts", "entities", "tokens", "bio_tags", "bio_mask", "rejected", "warnings"
+        *texts.columns, "query_model", "search_text", "removed", *[f"{n}_intent" for n in INTENTS], "category_hint", "facts", "entities", "tokens", "bio_tags", "bio_mask", "rejected", "warnings"
     )
