@@ -6,7 +6,7 @@
    samples differ, most precisely at high similarity.
 3. First each class is tried against the best leader of its bands only, which joins large groups with one comparison a member; in
    another round, against the best of new leaders from the largest component of each band. Then all pairs that share a band and
-   still lie in different components are compared inside a join. The sketch drops pairs four standard deviations below the
+   still lie in different components are compared inside a join, each at the first band that it shares. The sketch drops pairs four standard deviations below the
    threshold; the rest are decided on full shingle sets, and only confirmed links leave the join.
 4. Components are found by star contraction on the confirmed links.
 
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import WordHashes, binary, cut, mix, shingle_set, stored
+from quern.llm.common import BROADCAST_BYTES, WordHashes, binary, cut, mix, shingle_set, stored
 from quern.llm.components import components
 
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**48 < 1e-6
@@ -177,6 +177,17 @@ def _differing(a: str, b: str) -> F.Column:
     return sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
 
 
+def _first(a: str, b: str) -> F.Column:
+    """Whether no band before this one is shared, so that a pair of many common bands is decided once; band keys of 31 bits tell."""
+    return ~F.arrays_overlap(F.slice(f"{a}.bands", F.lit(1), F.col(f"{a}.pos")), F.slice(f"{b}.bands", F.lit(1), F.col(f"{b}.pos")))
+
+
+def _with_sets(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows with their full sets. Sets of at most BROADCAST_BYTES join the rows after these are dealt by key, so that no copy of a set is shuffled."""
+    size = sets.agg(F.sum(F.size("items") * 8 + 64)).first()[0] or 0
+    return live.repartition("key").join(F.broadcast(sets), "id") if size <= BROADCAST_BYTES else live.join(sets, "id")
+
+
 def _near(pairs: DataFrame, lean: DataFrame, percent: int, samples: int) -> DataFrame:
     """The (id, leader) pairs whose sketches are near enough, with the number d of differing bits."""
     met = pairs.alias("t").join(lean.alias("x"), F.col("t.id") == F.col("x.id")).join(lean.alias("y"), F.col("t.leader") == F.col("y.id"))
@@ -193,8 +204,8 @@ def _ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def _placed(dealt: DataFrame, joined: DataFrame) -> DataFrame:
-    """(id, key, comp): each id with its component so far."""
-    return dealt.join(joined, "id", "left").select("id", "key", F.coalesce("component", "id").alias("comp"))
+    """(id, pos, key, comp): each id with its component so far."""
+    return dealt.join(joined, "id", "left").select("id", "pos", "key", F.coalesce("component", "id").alias("comp"))
 
 
 def _new_leaders(placed: DataFrame, again: int) -> DataFrame:
@@ -238,7 +249,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     samples = bands * rows
 
     # one leader a band; each class is compared with the leader whose sketch is nearest
-    dealt = reps.select("id", F.explode("bands").alias("key"))
+    dealt = reps.select("id", F.posexplode("bands").alias("pos", "key"))
     leaders = dealt.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "leader")
     close = cut(_near(dealt.join(leaders, "key").filter(F.col("id") != F.col("leader")).select("id", "leader").distinct(), lean, percent, samples))
     sets = _Sets(docs, text_col, shingle, reps.select("id", "t"))
@@ -249,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what still lies apart within a band
     dealt = _placed(dealt, joined)
     apart = dealt.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    rest = cut(dealt.join(apart, "key", "left_semi").select("id", "key"))
+    rest = cut(dealt.join(apart, "key", "left_semi").select("id", "pos", "key"))
     for again in range(STAR_ROUNDS):
         pairs = _best(_near(_new_leaders(_placed(rest, joined), again), lean, percent, samples))
         pairs = cut(pairs)
@@ -264,13 +275,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # classes with a near partner in another component, then pair by pair on full sets inside a join that only confirmed links leave
     members = _placed(rest, joined)
     apart = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    members = cut(members.join(apart, "key", "left_semi").join(lean, "id"))
+    short = reps.select("id", "n", "sketch", F.transform("bands", lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")).alias("bands"))
+    members = stored(members.join(apart, "key", "left_semi").join(short, "id"), "near-members")
     x, y = members.alias("x"), members.alias("y")
-    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _close("x", "y", percent, samples)
-    live, final = cut(x.join(y, near, "left_semi")), joined
+    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _close("x", "y", percent, samples) & _first("x", "y")
+    live, final = stored(x.join(y, near, "left_semi"), "near-live"), joined
     if live.take(1):
-        sets.add(live.select("id").distinct())
-        full = live.join(sets.made, "id")
+        ids = cut(live.select("id").distinct())
+        sets.add(ids)
+        full = _with_sets(live, sets.made.join(ids, "id", "left_semi"))
         x, y = full.alias("x"), full.alias("y")
         same = F.size(F.array_intersect("x.items", "y.items"))
         exact = same * 100 >= (F.col("x.n") + F.col("y.n") - same) * percent
