@@ -38,47 +38,66 @@ SENTENCE_END = re.compile(r"[.!?:;]\W*$")
 BREAK = b"\x00"
 
 
+MARKS, END_MARKS = b".,:;!?", b".:;!?"
+INSIDE, FIRST, ENDS, VOID = 1, 2, 4, 8  # literal within a sentence, or at the start of one; ends a sentence; no word: a line break, or punctuation alone
+
+
+def properties(raw: bytes) -> tuple[str, str, str, int]:
+    """The value of a word, its template word inside a sentence and at the start of one, and its flags."""
+    body = raw if raw[-1] not in MARKS else raw[:-1]
+    if body.isalpha():  # ASCII letters, and one mark at most: no pattern to look for
+        core, flags = body.decode(), ENDS if raw[-1] in END_MARKS else 0
+        low = core.lower()
+        plain = "<unit>" if low in UNITS else low
+    else:
+        text = raw.decode("utf-8", "replace")
+        plainly = text.isalnum()  # no punctuation to look at
+        core = text if plainly else EDGE.sub("", text)
+        low = core.lower()
+        plain = "<unit>" if low in UNITS else low
+        if not core.isalpha() and NUMBER.match(core):
+            plain = "<num>"
+        flags = 0 if plainly else (ENDS if raw == BREAK or SENTENCE_END.search(text) else 0) | (VOID if raw == BREAK or not core else 0)
+    inside = plain
+    if plain == low and len(core) > 1 and core[0].isupper() and core[1:].islower():
+        inside = "<name>"
+    return low, inside, plain, flags | (inside[:1] != "<" and INSIDE) | (plain[:1] != "<" and FIRST)
+
+
 class Vocabulary(dict):
-    """Raw word to a row of its properties; starts afresh when full."""
+    """Raw word to a row of its properties; starts afresh when full. Rows are written to the arrays by ``settle``, many at once."""
 
-    def __init__(self):
+    def __init__(self, rows: int = CACHE_WORDS):
         super().__init__()
+        self.rows = rows
         self._reset()
 
     def _reset(self) -> None:
         self.clear()
-        self.words: list[tuple[str, str, str]] = []
-        self.inside = np.zeros(CACHE_WORDS + 1, dtype=np.uint64)  # hash of its template within a sentence
-        self.first = np.zeros(CACHE_WORDS + 1, dtype=np.uint64)  # and at the start of one
-        self.exact = np.zeros(CACHE_WORDS + 1, dtype=np.uint64)  # of the word itself
-        self.literal = np.zeros((2, CACHE_WORDS + 1), dtype=bool)
-        self.ends = np.zeros(CACHE_WORDS + 1, dtype=bool)
-        self.void = np.zeros(CACHE_WORDS + 1, dtype=bool)  # no word: a line break, or punctuation alone
+        self.words: list[bytes] = []  # without their properties, of which few are asked for: tuples of them would keep the garbage collector busy
+        self.new: list[int] = []  # the hashes and flags of the rows to settle
+        self.inside = np.zeros(self.rows + 1, dtype=np.uint64)  # hash of its template within a sentence
+        self.first = np.zeros(self.rows + 1, dtype=np.uint64)  # and at the start of one
+        self.exact = np.zeros(self.rows + 1, dtype=np.uint64)  # of the word itself
+        self.flags = np.zeros(self.rows + 1, dtype=np.uint8)
 
     def __missing__(self, raw: bytes) -> int:
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > self.rows:
             raise OverflowError
         at = self[raw] = len(self.words)
-        text = raw.decode("utf-8", "replace")
-        plainly = text.isalnum()  # no punctuation to look at
-        core = text if plainly else EDGE.sub("", text)
-        low = core.lower()
-        plain = "<unit>" if low in UNITS else low
-        if not core.isalpha() and NUMBER.match(core):
-            plain = "<num>"
-        inside = plain
-        if plain == low and len(core) > 1 and core[0].isupper() and core[1:].islower():
-            inside = "<name>"
-        self.words.append((low, inside, plain))
-        first = self.first[at] = xxhash.xxh3_64_intdigest(plain)
-        self.inside[at] = first if inside is plain else xxhash.xxh3_64_intdigest(inside)
-        self.exact[at] = first if plain is low else xxhash.xxh3_64_intdigest(low)
-        self.literal[:, at] = inside[:1] != "<", plain[:1] != "<"
-        if not plainly:
-            self.ends[at] = raw == BREAK or bool(SENTENCE_END.search(text))
-            self.void[at] = raw == BREAK or not core
+        self.words.append(raw)
+        low, inside, plain, flags = properties(raw)
+        first = xxhash.xxh3_64_intdigest(plain)
+        self.new += (first if inside is plain else xxhash.xxh3_64_intdigest(inside)), first, first if plain is low else xxhash.xxh3_64_intdigest(low), flags
         return at
 
+    def settle(self) -> None:
+        if self.new:
+            rows = np.array(self.new, dtype=np.uint64).reshape(-1, 4)
+            at = slice(len(self.words) - len(rows), len(self.words))
+            self.inside[at], self.first[at], self.exact[at], self.flags[at] = rows.T
+            self.new = []
+
 
 class Template:
     """Template of a text: its words, the hash of each template word, and where literals stand."""
@@ -86,13 +105,15 @@ class Template:
     def __init__(self, vocabulary: Vocabulary | None, text: bytes | None):
         raw = (text or b"").replace(BREAK, b" ").replace(b"\n", b" \x00 ").split()
         if vocabulary is None or len(raw) > CACHE_WORDS:
-            vocabulary = Vocabulary.of(len(raw))
+            vocabulary = Vocabulary(len(raw))
         elif len(vocabulary) + len(raw) > CACHE_WORDS:  # else a text could outgrow the rows that it has begun to use
             vocabulary._reset()
         ids = np.fromiter(map(vocabulary.__getitem__, raw), dtype=np.int64, count=len(raw))
+        vocabulary.settle()
+        flags = vocabulary.flags[ids]
         start = np.ones(len(ids), dtype=bool)
-        start[1:] = vocabulary.ends[ids[:-1]]
-        keep = ~vocabulary.void[ids]
+        start[1:] = flags[:-1] & ENDS != 0
+        keep = flags & VOID == 0
         # after dropped tokens, a start mark still reaches the next word
         if len(ids):
             last = np.maximum.accumulate(np.where(start, np.arange(len(ids)), -1))
@@ -106,53 +127,46 @@ class Template:
 
     def word(self, i: int) -> tuple[str, str, str, bool]:
         """The value at i, its template word inside a sentence and at the start of one, and whether it stands at a start."""
-        return *self.vocabulary.words[self.ids[i]], self.start[i]
+        return *properties(self.vocabulary.words[self.ids[i]])[:3], self.start[i]
 
-    def hashes(self, width: int) -> np.ndarray:
-        """Window hashes in four forms: as sentences stand, names everywhere, names nowhere, the words themselves."""
+    def hashes(self, width: int, exact: bool = True) -> np.ndarray:
+        """Window hashes in four forms: as sentences stand, names everywhere, names nowhere, the words themselves (left out unless ``exact``)."""
         v = self.vocabulary
         inside, first = v.inside[self.ids], v.first[self.ids]
-        return windows(np.stack([np.where(self.start, first, inside), inside, first, v.exact[self.ids]]), width)
+        return windows(np.stack([np.where(self.start, first, inside), inside, first, *([v.exact[self.ids]] if exact else [])]), width)
 
     def usable(self, width: int) -> np.ndarray:
         """By form, whether a window tells enough; the words themselves stand in for windows with few literals."""
         n = max(len(self) - width + 1, 0)
-        inside, first = self.vocabulary.literal[0][self.ids], self.vocabulary.literal[1][self.ids]
+        flags = self.vocabulary.flags[self.ids]
+        inside, first = flags & INSIDE != 0, flags & FIRST != 0
         sums = np.zeros((3, len(self) + 1), dtype=np.int64)
         np.cumsum(np.stack([np.where(self.start, first, inside), inside, first]), axis=1, out=sums[:, 1:])
         enough = sums[:, width : width + n] - sums[:, :n] >= min(LITERALS, width)
         return np.concatenate([enough, ~enough[2:]])
 
 
-def _of(cls, n: int):
-    made = cls.__new__(cls)
-    dict.__init__(made)
-    made.words = []
-    made.inside, made.first = np.zeros(n + 1, dtype=np.uint64), np.zeros(n + 1, dtype=np.uint64)
-    made.exact = np.zeros(n + 1, dtype=np.uint64)
-    made.literal, made.ends, made.void = np.zeros((2, n + 1), dtype=bool), np.zeros(n + 1, dtype=bool), np.zeros(n + 1, dtype=bool)
-    return made
-
-
-Vocabulary.of = classmethod(_of)
-
-
 def width_of(n: int) -> int:
     """Window width for an item of n template words; items of fewer than LITERALS words are too short to tell."""
     return min(WINDOW, n) if n >= LITERALS else 0
 
 
-def item_windows(items: list[tuple[int, bytes | None]]) -> dict[int, dict[int, list[tuple[int, int]]]]:
-    """By width: window hash to the (item, position) pairs it stands at."""
-    vocabulary, found = Vocabulary(), defaultdict(lambda: defaultdict(list))
+def item_windows(items: list[tuple[int, bytes | None]]) -> tuple[dict[int, dict[int, list[tuple[int, int]]]], set[int]]:
+    """By width: window hash to the (item, position) pairs it stands at; and the widths of windows that go by the words themselves.
+
+    At other widths the words themselves of a text find nothing that its form without names doesn't.
+    """
+    vocabulary, found, exact = Vocabulary(), defaultdict(lambda: defaultdict(list)), set()
     for item, text in items:
         t = Template(vocabulary, text)
         if width := width_of(len(t)):
             usable = t.usable(width)
+            if usable[3].any():
+                exact.add(width)
             for at, forms in enumerate(t.hashes(width).T.tolist()):
                 for h in {h for h, tells in zip(forms, usable[:, at], strict=True) if tells}:
                     found[width][h].append((item, at))
-    return {w: dict(x) for w, x in found.items()}
+    return {w: dict(x) for w, x in found.items()}, exact
 
 
 def agree(here: tuple[str, str, str, bool], asked: tuple[str, str, str, bool]) -> str | None:
@@ -216,7 +230,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int, bytes | None]], vocabulary: Vocabulary | None = None):
         self.vocabulary, self.made = vocabulary or Vocabulary(), {}
         self.names, self.texts = [item for item, _ in items], [text for _, text in items]
-        self.index = item_windows(list(enumerate(self.texts)))  # by row, for rows may share an item's id
+        self.index, self.exact = item_windows(list(enumerate(self.texts)))  # by row, for rows may share an item's id
         self.bits = {}
         for width, found in self.index.items():
             size = 1 << min(22, max(10, (64 * len(found)).bit_length()))
@@ -233,7 +247,7 @@ class Matcher:
         """By item id: the longest run, then the first, then the one with fewest changed slots."""
         doc, hits = Template(self.vocabulary, text), []
         for width, found in self.index.items():
-            h, bits = doc.hashes(width), self.bits[width]
+            h, bits = doc.hashes(width, width in self.exact), self.bits[width]
             for form, at in np.argwhere(bits[h & np.uint64(len(bits) - 1)]).tolist():
                 hits += [(row, to, at, width) for row, to in found.get(int(h[form, at]), ())]
         best: dict[int, tuple[int, int, int]] = {}
