@@ -7,7 +7,8 @@
 3. First each class is tried against the best leader of its bands only, which joins large groups with one comparison a member; in
    another round, against the best of new leaders from the largest component of each band. Then all pairs that share a band and
    still lie in different components are compared inside a join, each at the first band that it shares. The sketch drops pairs four standard deviations below the
-   threshold; the rest are decided on full shingle sets, and only confirmed links leave the join.
+   threshold. Of the rest, a bitmap of the full sets, in which each shingle flips one bit, drops most that are not linked and none that
+   are; what remains is decided on full shingle sets, and only confirmed links leave the join.
 4. Components are found by star contraction on the confirmed links.
 
 Full sets are made only for texts in a candidate pair; a fixed-size Bloom bitmap of their ids keeps other texts out of the shuffle.
@@ -27,6 +28,7 @@ from quern.llm.components import components
 
 BANDS, ROWS = 48, 6  # a pair at similarity 0.8 shares no band with probability (1 - 0.8**6)**48 < 1e-6
 SKETCH_BITS = 512
+FINE_BITS = 1024  # of the bitmap of a full set
 STAR_ROUNDS = 1  # rounds of new leaders before the remaining pairs are tried
 BLOOM_ROWS = 4_000_000  # texts of which a bitmap (8 MB) is broadcast
 
@@ -109,8 +111,17 @@ def _bloom(hashes: DataFrame, words: int) -> np.ndarray:
     return out
 
 
+def fine_sketches(sets: list[np.ndarray], bits: int = FINE_BITS) -> np.ndarray:
+    """A row of 64-bit words for each set: the parity bitmap of its hashes. Two sets differ in at least as many hashes as their bitmaps in bits."""
+    out = np.empty((len(sets), bits // 64), dtype=np.int64)
+    for at, items in enumerate(sets):
+        odd = np.bincount((items.view(np.uint64) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        out[at] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return out
+
+
 def full_sets(docs: DataFrame, text_col: str, shingle: int, wanted: DataFrame) -> DataFrame:
-    """(id, items) for each row of ``wanted`` (id, t): the sorted set of shingle hashes of the texts with hash t.
+    """(id, items, fine) for each row of ``wanted`` (id, t): the sorted set of shingle hashes of the texts with hash t, and its bitmap.
 
     Up to BLOOM_ROWS rows a broadcast bitmap keeps other texts out of Python and the shuffle; beyond, a semi join on the hash does.
     """
@@ -136,10 +147,11 @@ def full_sets(docs: DataFrame, text_col: str, shingle: int, wanted: DataFrame) -
             sets = [shingle_set(cache, t, shingle).view(np.int64) for t in binary(batch.column(0))]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             items = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), items], names=["t", "items"])
+            fine = pa.FixedSizeListArray.from_arrays(pa.array(fine_sketches(sets).ravel()), FINE_BITS // 64).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), items, fine], names=["t", "items", "fine"])
 
-    made = lean.mapInArrow(run, "t long, items array<long>")
-    made = stored(made.join(wanted, "t").dropDuplicates(["t"]).select("id", "items"), "near-sets")  # a class has one t: dealt once
+    made = lean.mapInArrow(run, "t long, items array<long>, fine array<long>")
+    made = stored(made.join(wanted, "t").dropDuplicates(["t"]).select("id", "items", "fine"), "near-sets")  # a class has one t: dealt once
     if bits is not None:
         bits.destroy()
     return made
@@ -163,7 +175,8 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 hit.append(100 * same >= percent * (len(p) + len(q) - same) and same > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    full = pairs.join(sets.withColumnRenamed("id", "a").withColumnRenamed("items", "x"), "a").join(sets.withColumnRenamed("id", "b").withColumnRenamed("items", "y"), "b")
+    sets = sets.select("id", "items")
+    full = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     return full.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -173,8 +186,13 @@ def _close(a: str, b: str, percent: int, samples: int) -> F.Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (_differing(a, b) <= most_differing(percent / 100, samples, SKETCH_BITS))
 
 
-def _differing(a: str, b: str) -> F.Column:
-    return sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+def _differing(a: str, b: str, column: str = "sketch", bits: int = SKETCH_BITS) -> F.Column:
+    return sum((F.bit_count(F.col(f"{a}.{column}")[i].bitwiseXOR(F.col(f"{b}.{column}")[i])) for i in range(bits // 64)), F.lit(0))
+
+
+def _possible(a: str, b: str, percent: int) -> F.Column:
+    """Whether two sets may be linked by their bitmaps; never false for sets that are."""
+    return _differing(a, b, "fine", FINE_BITS) * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent)
 
 
 def _first(a: str, b: str) -> F.Column:
@@ -283,7 +301,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if live.take(1):
         ids = cut(live.select("id").distinct())
         sets.add(ids)
-        full = _with_sets(live, sets.made.join(ids, "id", "left_semi"))
+        x = live.join(sets.made.join(ids, "id", "left_semi").select("id", "fine"), "id")
+        x, y = x.alias("x"), x.alias("y")
+        live = stored(x.join(y, near & _possible("x", "y", percent), "left_semi").drop("fine"), "near-live")
+        ids = cut(live.select("id").distinct())
+        full = _with_sets(live, sets.made.join(ids, "id", "left_semi").select("id", "items"))
         x, y = full.alias("x"), full.alias("y")
         same = F.size(F.array_intersect("x.items", "y.items"))
         exact = same * 100 >= (F.col("x.n") + F.col("y.n") - same) * percent
